@@ -147,3 +147,47 @@ def build_fact(archive: DataFrame, typed: DataFrame) -> DataFrame:
         true_or_null(F.array_contains(ext, F.lit("No degree mentioned"))).alias("job_no_degree_mention"),
         true_or_null(F.array_contains(ext, F.lit("Health insurance"))).alias("job_health_insurance"),
     )
+
+
+# ------------------------------------------------------ S8 / P18 - P20
+TYPED_ALLOW_LIST = ["title", "company_name", "location", "via", "description", "extensions",
+                    "job_id", "thumbnail", "posted_at", "schedule_type", "salary",
+                    "work_from_home", "date_time", "search_term", "search_location", "commute_time"]
+
+JOB_SCHEMA = (
+    "struct<job_id string, title string, company_name string, location string, via string, "
+    "description string, thumbnail string, extensions array<string>, "
+    "detected_extensions struct<posted_at string, salary string, schedule_type string, "
+    "work_from_home boolean, commute_time string>, "
+    "job_highlights array<struct<title string, items array<string>>>, "
+    "related_links array<struct<link string, text string>>>"
+)
+
+
+def flatten_struct(df: DataFrame, struct_col: str) -> DataFrame:
+    """Lift a struct's fields into the row and drop the struct."""
+    return df.select("*", f"{struct_col}.*").drop(struct_col)
+
+
+def allow_list(df: DataFrame, allowed: list[str]) -> DataFrame:
+    """Keep the allowed columns that exist, in the frame's order."""
+    return df.select(*[c for c in df.columns if c in set(allowed)])
+
+
+def landing_rows(archive: DataFrame, *, load_time: Column | None = None,
+                 results: str = "results") -> DataFrame:
+    """Typed landing rows from pages (one row per posting).
+
+    A failed search lands nothing; pages without postings add no row (inner
+    explode).  Each posting is cast to a fixed struct, its
+    detected_extensions flattened, the search tags and the load time added,
+    and the columns restricted to the typed table's allow-list."""
+    load_time = F.current_timestamp().cast("timestamp_ntz") if load_time is None else load_time
+    ok = archive.where(~F.col("error"))
+    jobs = _get(F.try_parse_json(F.col(results)), "$.jobs_results", "array<variant>")
+    rows = ok.select("search_term", "search_location", load_time.alias("date_time"),
+                     F.explode(jobs).alias("_job"))
+    typed = rows.select("search_term", "search_location", "date_time",
+                        F.try_variant_get("_job", "$", JOB_SCHEMA).alias("_j"))
+    flat = flatten_struct(flatten_struct(typed, "_j"), "detected_extensions")
+    return allow_list(flat, TYPED_ALLOW_LIST)

@@ -306,3 +306,70 @@ factf AS (
   SELECT *, CASE WHEN list_contains(job_extensions, 'No degree mentioned') THEN true END AS job_no_degree_mention,
             CASE WHEN list_contains(job_extensions, 'Health insurance') THEN true END AS job_health_insurance
   FROM fact)"""
+
+
+# --------------------------------------------------------------------------
+# Text postings: one posting per document, timed by the event with the same
+# id, flagged by its labels.  Copies of a text in the same language share the
+# de-duplication key of the public table.
+def postings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    labels = read_table(spark, sf_dir, "labels")
+    d = (docs.join(events, docs.doc_id == events.event_id, "left")
+         .join(labels, "doc_id", "left"))
+    return d.select(
+        F.col("doc_id").cast("string").alias("job_id"),
+        F.col("lang").alias("job_title"),
+        F.upper("lang").alias("job_title_final"),
+        F.concat(F.lit("company-"), F.col("lang")).alias("company_name"),
+        F.col("lang").alias("job_location"),
+        F.col("text").alias("job_description"),
+        F.when(F.col("n_chars") > 5000, F.lit("Full-time")).alias("job_schedule_type"),
+        F.concat(F.lit("via "), F.col("source")).alias("job_via"),
+        F.col("ts").alias("search_time"),
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("search_id"),
+        F.when(F.col("quality") == 1, F.lit(True)).alias("job_work_from_home"),
+        F.when(F.col("toxic") == 1, F.lit(True)).alias("job_no_degree_mention"),
+        F.lit(None).cast("boolean").alias("job_health_insurance"),
+        F.array("lang", "source").alias("keywords_all"),
+    )
+
+
+POSTINGS_TEXT_SQL = """
+pt AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS job_id, d.lang AS job_title, upper(d.lang) AS job_title_final,
+         'company-' || d.lang AS company_name, d.lang AS job_location, d.text AS job_description,
+         CASE WHEN d.n_chars > 5000 THEN 'Full-time' END AS job_schedule_type,
+         'via ' || d.source AS job_via, e.ts AS search_time, 'doc-' || CAST(d.doc_id AS VARCHAR) AS search_id,
+         CASE WHEN l.quality = 1 THEN true END AS job_work_from_home,
+         CASE WHEN l.toxic = 1 THEN true END AS job_no_degree_mention,
+         CAST(NULL AS BOOLEAN) AS job_health_insurance,
+         [d.lang, d.source] AS keywords_all
+  FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id LEFT JOIN labels l ON l.doc_id = d.doc_id
+)"""
+
+
+# Dimensions of the star join built from the driver tables.
+def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """search_location -> search_country; region 4 has no entry (unmatched)."""
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .where(F.col("n_regionkey") != 4)
+            .select(F.col("n_name").alias("search_location"), F.col("r_name").alias("search_country")))
+
+
+def title_dim_from(fact: DataFrame) -> DataFrame:
+    """Labelled titles: '1-URGENT' -> 'urgent'; '4-NOT SPECIFIED' stays unlabelled."""
+    return (fact.select("job_title").where(F.col("job_title").isNotNull()).distinct()
+            .where(F.col("job_title") != "4-NOT SPECIFIED")
+            .select("job_title", F.lower(F.regexp_extract("job_title", "-(.*)", 1)).alias("job_title_clean")))
+
+
+def brand_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skill dimension keyed like the fact: (job_id, job_description, keywords_all)."""
+    return order_brands(spark, sf_dir).select(
+        F.col("l_orderkey").cast("string").alias("job_id"),
+        F.lit(None).cast("string").alias("job_description"),
+        "keywords_all")

@@ -1,8 +1,9 @@
 """T1 dictionary tagger, T4 category listing, S6/K8 dictionary I/O.
 
 Tagging is one projection: lower-case, split on whitespace, strip edge
-punctuation, build 1..3-grams (text order), intersect with each category's
-keyword list.  No UDF and no shuffle: a document is tagged where it is read,
+punctuation, intersect the tokens with each category's single-word keywords
+and find its multi-word keywords at token boundaries of the joined tokens
+(the same result as matching all 1..3-grams, without building them).  No UDF and no shuffle: a document is tagged where it is read,
 however long it is, and the dictionary travels inside the plan as literals.
 
 Token rule: leading ``,;:!?*-()"'`` and trailing ``.,;:!?*-()"'`` are
@@ -22,33 +23,40 @@ from ..functions.keywords import ALL_COLUMN, LISTED_CATEGORIES, SKILL_CATEGORIES
 from .dedup import dedup_by_key
 
 EDGE_PUNCT = r"""^[,;:!?*\-()"']+|[.,;:!?*\-()"']+$"""
+# The same rule applied to a whole text at once: a leading run after a
+# space (or the start) and a trailing run before a space (or the end).
+EDGE_PUNCT_TEXT = r"""(?<=^|\s)[,;:!?*\-()"']+|[.,;:!?*\-()"']+(?=\s|$)"""
 MAX_NGRAM = 3
 
 
 def tokens(text: str | Column) -> Column:
+    """Whitespace tokens with edge punctuation stripped, empty tokens dropped.
+
+    Built only from codegen'd functions (one regex pass over the text, a
+    split and an ``array_remove``): no per-token lambda."""
     t = F.col(text) if isinstance(text, str) else text
-    raw = F.split(F.lower(t), r"\s+")
-    stripped = F.transform(raw, lambda w: F.regexp_replace(w, EDGE_PUNCT, ""))
-    return F.filter(stripped, lambda w: w != F.lit(""))
+    cleaned = F.regexp_replace(F.lower(t), EDGE_PUNCT_TEXT, "")
+    return F.array_remove(F.split(cleaned, r"\s+"), "")
+
+
+def _shifted_grams(joined: Column, n: int) -> Column:
+    """n-grams of a single-space-joined token string, n >= 2.
+
+    Each token followed by n-1 more is rewritten as the n-gram plus a tab
+    (a lookahead keeps the following tokens for the next match); splitting
+    on tabs leaves the unmatched tail as the last element, which is cut."""
+    ahead = " ".join(["(\\S+)"] * (n - 1))
+    pattern = f"(\\S+) (?={ahead})"
+    repl = " ".join(f"${i}" for i in range(1, n + 1)) + "\t"
+    parts = F.split(F.regexp_replace(joined, pattern, repl), "\t")
+    return F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
 def ngrams(tok: Column, n_max: int = MAX_NGRAM) -> Column:
-    """All 1..n_max-grams of a token array, in text order (position-major).
-
-    Each n-gram array is built from the previous one with ``zip_with`` over
-    shifted slices; the token array is only referenced, never re-derived
-    inside a lambda."""
-    size = F.size(tok)
-    levels = [tok]
-    prev = tok
-    for n in range(2, n_max + 1):
-        keep = F.greatest(size - (n - 1), F.lit(0))
-        prev = F.zip_with(F.slice(prev, 1, keep), F.slice(tok, n, keep),
-                          lambda a, b: F.concat(a, F.lit(" "), b))
-        levels.append(prev)
-    zipped = F.arrays_zip(*[lvl.alias(f"g{i}") for i, lvl in enumerate(levels)])
-    per_pos = F.transform(zipped, lambda s: F.array(*[s[f"g{i}"] for i in range(len(levels))]))
-    return F.filter(F.flatten(per_pos), lambda g: g.isNotNull())
+    """All 1..n_max-grams of a token array: unigrams, then 2-grams, then 3-grams,
+    each in text order.  No higher-order function is involved."""
+    joined = F.array_join(tok, " ")
+    return F.concat(tok, *[_shifted_grams(joined, n) for n in range(2, n_max + 1)])
 
 
 def _lower_list(words: Sequence[str]) -> Column:
@@ -61,15 +69,52 @@ def _lower_list(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(w) for w in out])
 
 
-def tag_columns(grams: Column, categories: Mapping[str, Sequence[str]] | None = None,
+def _phrase_groups(phrases: Sequence[str]) -> list[list[str]]:
+    """Split multi-word keywords so that no group holds a phrase and its own
+    token-prefix (only one alternative can match at a given position)."""
+    def depth(p):
+        return sum(1 for q in phrases if q != p and (p + " ").startswith(q + " "))
+    groups: dict[int, list[str]] = {}
+    for p in phrases:
+        groups.setdefault(depth(p), []).append(p)
+    return [groups[k] for k in sorted(groups)]
+
+
+def _find_phrases(joined: Column, phrases: Sequence[str]) -> Column:
+    """Every occurrence of the phrases at token boundaries of a single-space
+    joined token string (zero-width lookahead matches, so overlaps count)."""
+    found = []
+    for group in _phrase_groups(sorted(set(phrases), key=lambda p: (-len(p), p))):
+        alts = "|".join("\\Q" + p + "\\E" for p in group)
+        found.append(F.regexp_extract_all(joined, F.lit(f"(?<=^| )(?=({alts})(?: |$))"), 1))
+    return F.concat(*found) if len(found) > 1 else found[0]
+
+
+def tag_columns(tok: Column, categories: Mapping[str, Sequence[str]] | None = None,
                 all_column: str | None = ALL_COLUMN) -> dict[str, Column]:
-    """One array column per category (+ the union), distinct, empty -> NULL."""
+    """One array column per category (+ the union), distinct, empty -> NULL.
+
+    Single-word keywords: a hash intersection with the tokens.  Multi-word
+    keywords: found directly in the joined token string, so no n-gram
+    arrays are built at all."""
     categories = SKILL_CATEGORIES if categories is None else categories
-    cols = {name: empty_to_null(F.array_intersect(grams, _lower_list(words)))
-            for name, words in categories.items()}
+    joined = F.array_join(tok, " ")
+    lists = {name: [w.lower() for w in words] for name, words in categories.items()}
     if all_column:
-        every = [w for words in categories.values() for w in words]
-        cols[all_column] = empty_to_null(F.array_intersect(grams, _lower_list(every)))
+        lists[all_column] = [w for words in lists.values() for w in words]
+    phrases = sorted({w for words in lists.values() for w in words if " " in w})
+    found = _find_phrases(joined, phrases) if phrases else None
+    cols = {}
+    for name, words in lists.items():
+        uni = [w for w in words if " " not in w]
+        multi = [w for w in words if " " in w]
+        parts = []
+        if uni:
+            parts.append(F.array_intersect(tok, _lower_list(uni)))
+        if multi:
+            parts.append(F.array_intersect(found, _lower_list(multi)))
+        arr = parts[0] if len(parts) == 1 else F.concat(*parts)
+        cols[name] = empty_to_null(arr)
     return cols
 
 
@@ -80,8 +125,7 @@ def tag_keywords(df: DataFrame, text: str, *, keep: Sequence[str] = (),
     text_col = F.lower(F.col(text)) if lower_text else F.col(text)
     staged = df.select(*keep, text_col.alias(text))
     staged = staged.select(*keep, text, tokens(text).alias("_tok"))
-    staged = staged.select(*keep, text, ngrams(F.col("_tok")).alias("_grams"))
-    tags = tag_columns(F.col("_grams"), categories, all_column)
+    tags = tag_columns(F.col("_tok"), categories, all_column)
     return staged.select(*keep, text, *[c.alias(n) for n, c in tags.items()])
 
 

@@ -19,9 +19,25 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
+               columns: list[str] | None = None, *, spread_out: bool = False) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if spread_out else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer tasks than the cluster has cores.
+
+    A small input stored as one file with one row group is read by a single
+    task, and any heavy per-row work before the first shuffle (tagging text,
+    building or parsing JSON) then runs on one core.  Only in that case the
+    rows are redistributed round-robin (a shuffle as large as that small
+    input); a large, multi-file input already has enough scan tasks and is
+    left untouched, so nothing is shuffled at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType,

@@ -21,15 +21,19 @@ def _nation(spark, sf_dir):
     return F.broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"]))
 
 
-def order_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, keywords_all): distinct sorted part brands of an order.
+def order_brands(spark: SparkSession, sf_dir: str, key: "Column | None" = None,
+                 name: str = "l_orderkey") -> DataFrame:
+    """(key, keywords_all): distinct sorted part brands of an order.
 
     collect_set is combined map-side and bounded by the number of brands,
-    so a hot order key cannot blow up one task."""
+    so a hot order key cannot blow up one task.  ``key`` lets the caller
+    aggregate on the join key it needs (e.g. the string job id), so the
+    aggregate's partitioning is reused by the join."""
     lineitem = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+    key = F.col("l_orderkey") if key is None else key
     return (lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-            .groupBy("l_orderkey")
+            .groupBy(key.alias(name))
             .agg(F.array_sort(F.collect_set("p_brand")).alias("keywords_all")))
 
 
@@ -369,7 +373,5 @@ def title_dim_from(fact: DataFrame) -> DataFrame:
 
 def brand_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skill dimension keyed like the fact: (job_id, job_description, keywords_all)."""
-    return order_brands(spark, sf_dir).select(
-        F.col("l_orderkey").cast("string").alias("job_id"),
-        F.lit(None).cast("string").alias("job_description"),
-        "keywords_all")
+    return order_brands(spark, sf_dir, F.col("l_orderkey").cast("string"), "job_id").select(
+        "job_id", F.lit(None).cast("string").alias("job_description"), "keywords_all")

@@ -48,10 +48,13 @@ def _get(v: Column, path: str, typ: str = "string") -> Column:
 # ------------------------------------------------------------ P21 / P22
 def parse_zoned_time(s: str | Column) -> Column:
     """``2023-01-05 10:00:00 UTC`` -> TIMESTAMP_NTZ wall clock (zone label not
-    applied, as a naive strptime does).  Bad text -> NULL."""
+    applied, as a naive strptime does).  Built from the parts, so the
+    session time zone plays no role; bad text or dates -> NULL."""
     s = F.col(s) if isinstance(s, str) else s
-    wall = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \S+$", 1)
-    return F.try_to_timestamp(F.nullif(wall, F.lit("")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    pattern = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2}) \S+$"
+    part = [F.regexp_extract(s, pattern, i) for i in range(1, 7)]
+    return F.try_make_timestamp_ntz(*[p.try_cast("int") for p in part[:5]],
+                                    part[5].try_cast("decimal(16,6)"))
 
 
 def page_metadata(results: str | Column) -> dict[str, Column]:

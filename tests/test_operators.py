@@ -356,3 +356,15 @@ def test_star_join_shapes(spark):
     assert w.columns[:3] == ["job_title_final", "job_title_clean", "job_id"]
     assert r.job_title_final == "term" and r.search_country is None and r.keywords_all == ["sql"]
     assert "job_description" not in w.columns
+
+
+def test_audit_report_and_export(spark, tmp_path):
+    from hirelake.plans.pipeline import export_marts
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "k int, arr array<string>")
+    observed, obs = sinks.audited(df)
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 2
+    assert sinks.report(df) == {"rows": 2, "schema": "struct<k:int,arr:array<string>>"}
+    export_marts({"m": df}, str(tmp_path))
+    back = sinks.read_csv(spark, str(tmp_path / "m"), "k int, arr string").orderBy("k").collect()
+    assert [(r.k, r.arr) for r in back] == [(1, "a|b"), (2, None)]

@@ -48,6 +48,28 @@ def in_timeframe(ts: str | Column, name: str, as_of) -> Column:
     return col(ts) >= start
 
 
+# Month partition column of stored wide/fact tables (first day of the month).
+MONTH_COL = "search_month"
+
+
+def month_of(ts: str | Column) -> Column:
+    return F.trunc(F.to_date(col(ts)), "month")
+
+
+def timeframe_filter(df, ts: str, name: str, as_of):
+    """Rows of a timeframe.  When the table is stored partitioned by the
+    month of ``ts`` (column ``search_month``), the same bound is also put on
+    the month, which Catalyst folds to a literal: the scan then skips every
+    older partition (a 7-day mart reads one or two months, not the history)."""
+    start = timeframe_start(name, as_of)
+    if start is None:
+        return df
+    out = df.where(col(ts) >= start)
+    if MONTH_COL in df.columns:
+        out = out.where(F.col(MONTH_COL) >= F.trunc(start, "month"))
+    return out
+
+
 def true_or_null(cond: Column) -> Column:
     """TRUE when the condition holds, otherwise NULL (never FALSE)."""
     return F.when(cond, F.lit(True))

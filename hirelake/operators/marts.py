@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (ALL_TIME, TIMEFRAME_NAMES, col, in_timeframe)
+from ..functions.columns import (ALL_TIME, TIMEFRAME_NAMES, in_timeframe, timeframe_filter)
 from .numbering import number_by_key
 
 # Default column names of the wide table.
@@ -95,7 +95,7 @@ def skill_grains(wide: DataFrame, as_of=None, timeframe: str = ALL_TIME, *,
     One GROUPING SETS aggregate for the counts and one for the denominators
     replace three scans and three joins per timeframe.  As in the reference's
     inner joins, a row whose grain key is NULL is dropped from that grain."""
-    base = wide if timeframe == ALL_TIME else wide.where(in_timeframe(ts, timeframe, as_of))
+    base = timeframe_filter(wide, ts, timeframe, as_of)
     exploded = base.select(job_id, title, country, F.explode(skills).alias("skill"))
     detail = (exploded
               .groupingSets([["skill", title, country], ["skill", title], ["skill", country]],
@@ -119,6 +119,51 @@ def skill_grains(wide: DataFrame, as_of=None, timeframe: str = ALL_TIME, *,
             .orderBy(F.desc("skill_count")))
 
 
+def _grain_rule(t: Column, c: Column, g: Column) -> Column:
+    """Keep a grain row only if its own keys are not NULL (inner-join rule)."""
+    return (((g == 0) & t.isNotNull() & c.isNotNull())
+            | ((g == 1) & t.isNotNull())
+            | ((g == 2) & c.isNotNull()))
+
+
+def skill_grains_all_timeframes(wide: DataFrame, as_of, *, skills: str = SKILLS, job_id: str = JOB_ID,
+                                title: str = TITLE, country: str = COUNTRY, ts: str = TS) -> DataFrame:
+    """M4-M7 in one pass: (timeframe, skill, title, country, skill_percent,
+    skill_count, total_jobs) for all four timeframes.
+
+    Postings are first counted per (skill, title, country, day) and per
+    (title, country, day), so the shuffle carries at most one row per day
+    and key, not one per posting; only those day rows are expanded to the
+    (up to four) timeframes they belong to.  A timeframe bound is midnight,
+    so ``ts >= bound`` equals ``to_date(ts) >= bound``."""
+    day = F.to_date(ts)
+    t, c = F.col(title), F.col(country)
+
+    def expand(df):
+        tfs = F.array(*[F.when(in_timeframe("_day", n, as_of), F.lit(n)) for n in TIMEFRAME_NAMES])
+        return df.select("*", F.explode(tfs).alias("timeframe")).where(F.col("timeframe").isNotNull())
+
+    per_day = (wide.select(job_id, title, country, day.alias("_day"), F.explode(skills).alias("skill"))
+               .groupBy("skill", title, country, "_day").agg(F.count(job_id).alias("_n")))
+    detail = (expand(per_day)
+              .groupingSets([["timeframe", "skill", title, country], ["timeframe", "skill", title],
+                             ["timeframe", "skill", country]], "timeframe", "skill", title, country)
+              .agg(F.sum("_n").alias("skill_count"), (F.grouping(title) * 2 + F.grouping(country)).alias("_g")))
+    detail = detail.where(_grain_rule(t, c, F.col("_g")))
+    day_totals = wide.groupBy(title, country, day.alias("_day")).agg(_count_rows().alias("_n"))
+    totals = (expand(day_totals)
+              .groupingSets([["timeframe", title, country], ["timeframe", title], ["timeframe", country]],
+                            "timeframe", title, country)
+              .agg(F.sum("_n").alias("total_jobs"), (F.grouping(title) * 2 + F.grouping(country)).alias("_g"))
+              .withColumnsRenamed({"timeframe": "_tf", title: "_t", country: "_c", "_g": "_tg"}))
+    joined = detail.join(totals, (detail["timeframe"] == totals["_tf"]) & (detail["_g"] == totals["_tg"])
+                         & t.eqNullSafe(F.col("_t")) & c.eqNullSafe(F.col("_c")))
+    return (joined.select("timeframe", "skill", title, country,
+                          F.try_divide(F.col("skill_count"), F.col("total_jobs")).alias("skill_percent"),
+                          "skill_count", "total_jobs")
+            .orderBy("timeframe", F.desc("skill_count")))
+
+
 # --------------------------------------------------------------------- M8
 def skill_trend(wide: DataFrame, *, top_n: int = 5, window_rows: int = 14,
                 skills: str = SKILLS, ts: str = TS, predicate: Column | None = None) -> DataFrame:

@@ -12,8 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.columns import ALL_TIME, LAST_7, LAST_30, YTD
+from ..functions.columns import ALL_TIME, LAST_7, LAST_30, MONTH_COL, YTD, month_of
 from ..operators import fact as fact_ops
 from ..operators import marts, public, salary, skills, titles, wide
 from ..sources import sinks
@@ -33,8 +34,10 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
     """Build and write fact and wide under ``out``; return the marts (lazy)."""
     archive = fact_ops.archive_rows(inputs.pages)
     fact = fact_ops.build_fact(archive, inputs.typed)
-    sinks.write_table(fact, f"{out}/fact")                                       # K1
-    fact = spark.read.parquet(f"{out}/fact")
+    # Stored by search month: timeframe marts prune old partitions at the scan.
+    sinks.write_table(fact.withColumn(MONTH_COL, month_of("search_time")), f"{out}/fact",
+                      partition_by=[MONTH_COL])                                  # K1
+    fact = spark.read.parquet(f"{out}/fact").drop(MONTH_COL)
 
     salary_dim = salary.salary_dimension(fact)                                   # K5 overwrite
     skill_dim = skills.skills_dimension(fact)
@@ -48,16 +51,24 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
         title_dim = inputs.title_dim.unionByName(titles.new_title_labels(fact, inputs.title_dim, **kw))
 
     w = wide.build_wide(fact, skill_dim, inputs.country, salary_dim, title_dim)
-    sinks.write_table(w, f"{out}/wide")
+    sinks.write_table(w.withColumn(MONTH_COL, month_of("search_time")), f"{out}/wide",
+                      partition_by=[MONTH_COL])
     w = spark.read.parquet(f"{out}/wide")
+    # All four grain marts from one pass, stored once (aggregated: small).
+    sinks.write_table(marts.skill_grains_all_timeframes(w, as_of), f"{out}/grains")
+    grains = spark.read.parquet(f"{out}/grains")
+
+    def grain(name):
+        return grains.where(F.col("timeframe") == name).drop("timeframe")
+
     return {
         "skills": marts.skills_by_timeframe(w, as_of),
         "slicer": marts.title_country_counts(w),
         "keywords": skills.keyword_listing(skill_dim),
-        "alltime": marts.skill_grains(w, as_of, ALL_TIME),
-        "7day": marts.skill_grains(w, as_of, LAST_7),
-        "30day": marts.skill_grains(w, as_of, LAST_30),
-        "ytd": marts.skill_grains(w, as_of, YTD),
+        "alltime": grain(ALL_TIME),
+        "7day": grain(LAST_7),
+        "30day": grain(LAST_30),
+        "ytd": grain(YTD),
         "skill_trend": marts.skill_trend(w),
         "skill_pay": marts.skill_pay(w),
         "skill_pay_slicer": marts.skill_pay_slicer(w),
@@ -66,13 +77,12 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
         "num_jobs": marts.health_num_jobs(fact),
         "dates": marts.health_jobs_daily(fact),
         "last_update": marts.health_last_update(fact),
-        "public": public.public_table(w),
+        "public": public.public_table(w.drop(MONTH_COL)),
     }
 
 
 def export_marts(marts_: dict[str, DataFrame], out: str) -> None:
     """K7: one sharded CSV folder per mart (array columns as '|' text)."""
-    from pyspark.sql import functions as F
     for name, df in marts_.items():
         flat = df.select(*[F.array_join(c, "|").alias(c) if t.startswith("array") else c
                            for c, t in df.dtypes])

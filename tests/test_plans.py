@@ -77,3 +77,28 @@ def test_dedup_combines_before_shuffle_under_skew(spark):
 def test_grains_use_expand_and_partial_counts(spark, smoke_dir):
     plan = _executed(marts.skill_grains(ad.postings_wide(spark, smoke_dir)))
     assert "Expand" in plan and "partial_count" in plan
+
+
+def test_timeframe_marts_prune_month_partitions(spark, smoke_dir):
+    from hirelake.functions.columns import LAST_7, MONTH_COL, month_of
+    out = tempfile.mkdtemp(prefix="hirelake-part-")
+    w = ad.postings_wide(spark, smoke_dir)
+    w.withColumn(MONTH_COL, month_of("search_time")).write.partitionBy(MONTH_COL).parquet(out + "/w")
+    stored = spark.read.parquet(out + "/w")
+    df = marts.skill_grains(stored, ad.AS_OF, LAST_7)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(search_month" in plan and "2001-07-01" in plan
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, df.collect())) == sorted(map(key, marts.skill_grains(w, ad.AS_OF, LAST_7).collect()))
+
+
+def test_build_all_grains_equal_per_timeframe(spark, smoke_dir):
+    from hirelake.functions.columns import LAST_30
+    out = tempfile.mkdtemp(prefix="hirelake-build-")
+    inputs = Inputs(pages=ad.raw_pages(spark, smoke_dir), typed=ad.typed_postings(spark, smoke_dir),
+                    country=ad.country_dim(spark, smoke_dir))
+    result = build_all(spark, inputs, out, ad.AS_OF)
+    wide_df = spark.read.parquet(os.path.join(out, "wide"))
+    direct = marts.skill_grains(wide_df, ad.AS_OF, LAST_30)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, result["30day"].collect())) == sorted(map(key, direct.collect()))

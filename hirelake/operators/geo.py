@@ -31,12 +31,12 @@ def country_weights(views: DataFrame, codes: DataFrame, *, geography: str = "Geo
 
     Drops the total row (by value, not position), countries without views and
     the excluded codes (P26), weights by watch time (A14) and names the
-    country by a left join on the code (J11); the code table is a fixed-size
-    lookup (one row per ISO code)."""
+    country by a left join on the code (J11).  The code table is not
+    hinted: AQE broadcasts it once it has measured it small."""
     kept = views.where((F.col(geography) != total_label) & (F.col(views_col) != 0)
                        & ~F.col(geography).isin(*exclude))
     weighted = ratio_to_total(kept, watch)
-    return (weighted.join(F.broadcast(codes.select(F.col("code"), F.col("country"))),
+    return (weighted.join(codes.select(F.col("code"), F.col("country")),
                           F.col(geography) == F.col("code"), "left")
             .select("country", "percent"))
 

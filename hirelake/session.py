@@ -51,3 +51,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(input_bytes: int, *, executors_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings to size a job over ``input_bytes`` of input on a cluster with
+    ``executors_cores`` task slots in all (pass them to ``spark-submit --conf``
+    or the session builder; nothing here is applied automatically).
+
+    Shuffle partitions start high enough for ~``target_partition_mb`` per
+    partition of the largest shuffle (the wide/fact join, about the input
+    size) and at least 3 waves of tasks; AQE then coalesces small ones and
+    splits skewed ones, and broadcasts only sides it has measured small."""
+    per = target_partition_mb * 1024 * 1024
+    partitions = max(3 * executors_cores, -(-input_bytes // per))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 2}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }

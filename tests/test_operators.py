@@ -368,3 +368,30 @@ def test_audit_report_and_export(spark, tmp_path):
     export_marts({"m": df}, str(tmp_path))
     back = sinks.read_csv(spark, str(tmp_path / "m"), "k int, arr string").orderBy("k").collect()
     assert [(r.k, r.arr) for r in back] == [(1, "a|b"), (2, None)]
+
+
+def test_top5_ties_break_by_skill(spark):
+    rows = [(str(i), "A", "X", dt.datetime(2001, 1, 1), None, [s]) for i, s in
+            enumerate(["b", "a", "c", "d", "e", "f", "f"])]
+    w = spark.createDataFrame(rows, _wide(spark).schema)
+    skills_ = {r.skill for r in marts.skill_trend(w, top_n=3).collect()}
+    assert skills_ == {"f", "a", "b"}            # f has 2; a, b win the tie against c, d, e
+
+
+def test_health_counts_null_posting(spark):
+    fact = spark.createDataFrame([(None, dt.datetime(2023, 1, 1, 5)), ("a", dt.datetime(2023, 1, 1, 6)),
+                                  ("b", dt.datetime(2023, 1, 2))], "job_id string, search_time timestamp_ntz")
+    assert marts.health_num_jobs(fact).first().num_jobs == 3          # COUNT(*) counts the NULL posting
+    daily = {r.search_date: r.jobs_daily for r in marts.health_jobs_daily(fact).collect()}
+    assert daily == {dt.date(2023, 1, 1): 1, dt.date(2023, 1, 2): 1}   # COUNT(job_id) does not
+    assert marts.health_last_update(fact).first().last_update == dt.datetime(2023, 1, 2)
+
+
+def test_ansi_safe_division_and_index(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([("5",), ("x",)], "job_salary string")
+    out = df.select(*[c.alias(n) for n, c in salary.parse_salary_columns("job_salary").items()]).collect()
+    assert out[0].salary_rate is None and out[1].salary_avg is None      # no exception under ANSI
+    views = spark.createDataFrame([("DE", 1, 0)], "Geography string, Views long, `Watch time (hours)` long")
+    codes = spark.createDataFrame([("DE", "Germany")], "code string, country string")
+    assert geo.country_weights(views, codes).first().percent is None     # 0/0 -> NULL, no error

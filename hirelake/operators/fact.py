@@ -1,6 +1,7 @@
 """Fact build (M19/M20): raw JSON pages + typed landing rows -> fact table.
 
-Pages are parsed once into VARIANT (``try_parse_json``: malformed -> NULL);
+Pages are parsed once into VARIANT when archived (``try_parse_json``:
+malformed -> NULL) and kept as VARIANT;
 ``jobs_results`` is unnested with ``explode_outer`` (an empty or missing array
 keeps one NULL posting, as LEFT JOIN UNNEST does).  Everything is a
 projection over the scan: no shuffle until the union is written.
@@ -57,10 +58,16 @@ def parse_zoned_time(s: str | Column) -> Column:
                                     part[5].try_cast("decimal(16,6)"))
 
 
-def page_metadata(results: str | Column) -> dict[str, Column]:
-    """Search id / time / time taken / language from a page; if any of the
-    four is missing or unparsable, all four are NULL."""
-    v = F.try_parse_json(results if isinstance(results, Column) else F.col(results))
+def as_variant(df: DataFrame, results: str = "results") -> Column:
+    """The page as VARIANT: parsed once (malformed -> NULL), or as stored."""
+    if dict(df.dtypes)[results] == "variant":
+        return F.col(results)
+    return F.try_parse_json(F.col(results))
+
+
+def page_metadata(v: Column) -> dict[str, Column]:
+    """Search id / time / time taken / language from a parsed page; if any
+    of the four is missing or unparsable, all four are NULL."""
     fields = {
         "search_id": _get(v, "$.search_metadata.id"),
         "search_time": parse_zoned_time(_get(v, "$.search_metadata.created_at")),
@@ -74,12 +81,17 @@ def page_metadata(results: str | Column) -> dict[str, Column]:
 
 
 def archive_rows(pages: DataFrame, *, results: str = "results") -> DataFrame:
-    """Raw archive rows: the landing columns plus page metadata.
+    """Raw archive rows: the landing columns, page metadata (P21/P22) and the
+    page itself as VARIANT, parsed here once; stored that way, later reads
+    never parse the JSON text again.
 
-    Input columns: search_term, search_location, result_offset, error, results."""
-    meta = page_metadata(results)
-    return pages.select("search_term", "search_location", "result_offset", "error",
-                        *[c.alias(n) for n, c in meta.items()], results)
+    Input columns: search_term, search_location, result_offset, error,
+    results (JSON text or VARIANT)."""
+    parsed = pages.select("search_term", "search_location", "result_offset", "error",
+                          as_variant(pages, results).alias(results))
+    meta = page_metadata(F.col(results))
+    return parsed.select("search_term", "search_location", "result_offset", "error",
+                         *[c.alias(n) for n, c in meta.items()], results)
 
 
 # -------------------------------------------------------- P3 - P9, J2
@@ -96,7 +108,7 @@ def _highlight(job: Column, title: str) -> Column:
 def json_postings(archive: DataFrame, *, results: str = "results") -> DataFrame:
     """S1 + P3 + J2 + P4-P9: one row per posting of every successful page."""
     ok = archive.where(~F.col("error"))                                  # P3 (NULL drops too)
-    jobs = _get(F.try_parse_json(F.col(results)), "$.jobs_results", "array<variant>")
+    jobs = _get(as_variant(archive, results), "$.jobs_results", "array<variant>")
     exploded = ok.select("*", F.explode_outer(jobs).alias("_job"))       # J2
     j = F.col("_job")
     link0, link1 = _get(j, "$.related_links[0].link"), _get(j, "$.related_links[1].link")
@@ -187,7 +199,7 @@ def landing_rows(archive: DataFrame, *, load_time: Column | None = None,
     and the columns restricted to the typed table's allow-list."""
     load_time = F.current_timestamp().cast("timestamp_ntz") if load_time is None else load_time
     ok = archive.where(~F.col("error"))
-    jobs = _get(F.try_parse_json(F.col(results)), "$.jobs_results", "array<variant>")
+    jobs = _get(as_variant(archive, results), "$.jobs_results", "array<variant>")
     rows = ok.select("search_term", "search_location", load_time.alias("date_time"),
                      F.explode(jobs).alias("_job"))
     typed = rows.select("search_term", "search_location", "date_time",

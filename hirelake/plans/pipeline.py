@@ -44,7 +44,7 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
     if inputs.skill_dim is not None:                                             # T3: new ids only
         new = skills.skills_dimension(
             fact.join(inputs.skill_dim.select("job_id"), "job_id", "left_anti"))
-        skill_dim = inputs.skill_dim.unionByName(new)
+        skill_dim = inputs.skill_dim.unionByName(new, allowMissingColumns=True)
     kw = {} if title_labels is None else {"labels": title_labels}
     title_dim = titles.classify_titles(fact, **kw)
     if inputs.title_dim is not None:

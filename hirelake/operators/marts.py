@@ -3,8 +3,7 @@
 Each mart is one lazy plan.  Where the reference scans the wide table once
 per timeframe or per grain and glues the pieces with UNION ALL, the marts here
 use conditional aggregation or GROUPING SETS over one scan; totals are
-uncorrelated scalar subqueries (Spark merges those over the same scan into
-one aggregate).  Keyword arrays are exploded before aggregation, and the
+uncorrelated scalar subqueries, several totals computed by one aggregate.  Keyword arrays are exploded before aggregation, and the
 aggregation is partial (map-side), so one very common skill never gathers
 its rows into one task.
 """
@@ -59,7 +58,8 @@ def skills_by_timeframe(wide: DataFrame, as_of, *, skills: str = SKILLS, job_id:
             F.struct(F.lit(i).alias("_tf"), F.col(f"_rows{i}").alias("_rows"),
                      F.col(f"_cnt{i}").alias("skill_count"))
             for i in range(len(conds))])))
-    totals = F.array(*[base.agg(F.count_if(c)).scalar() for c in conds])
+    # All four totals in one aggregate over one scan (one scalar subquery).
+    totals = base.agg(F.array(*[F.count_if(c) for c in conds]).alias("_totals")).scalar()
     names = F.array(*[F.lit(n) for n in TIMEFRAME_NAMES])
     total = F.element_at(totals, F.col("_tf") + 1)
     return (long.where(F.col("_rows") > 0)

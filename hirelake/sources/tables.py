@@ -25,17 +25,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return spread(df) if spread_out else df
 
 
+SMALL_SCAN_TASKS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores.
+    """Spread a small scan that yields fewer tasks than the cluster has cores.
 
     A small input stored as one file with one row group is read by a single
     task, and any heavy per-row work before the first shuffle (tagging text,
-    building or parsing JSON) then runs on one core.  Only in that case the
-    rows are redistributed round-robin (a shuffle as large as that small
-    input); a large, multi-file input already has enough scan tasks and is
-    left untouched, so nothing is shuffled at scale."""
+    building or parsing JSON) then runs on one core.  Only when the scan has
+    fewer than SMALL_SCAN_TASKS splits (so at most that many times
+    ``spark.sql.files.maxPartitionBytes`` of data) and fewer than the cores
+    available are the rows redistributed round-robin; any larger input is
+    left untouched, so nothing big is ever shuffled by this."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n = df.rdd.getNumPartitions()
+    if n >= min(target, SMALL_SCAN_TASKS):
         return df
     return df.repartition(target)
 

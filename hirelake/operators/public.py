@@ -10,7 +10,7 @@ postings of empty pages, say) is reduced before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import null_to_false
@@ -39,6 +39,6 @@ def public_table(wide: DataFrame, *, keywords: str = "keywords_all") -> DataFram
     )
 
 
-def element_values(arr: str) -> "F.Column":
+def element_values(arr: str) -> Column:
     """array<struct<element>> (parquet list encoding) -> array of values."""
     return F.transform(F.col(arr), lambda x: x["element"])

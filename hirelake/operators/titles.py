@@ -25,8 +25,22 @@ def title_counts(fact: DataFrame, title: str = "job_title") -> DataFrame:
     return fact.groupBy(title).agg(F.count(title).alias("job_title_count"))
 
 
+# Common abbreviations in posted titles, expanded before scoring (a design
+# choice of the overlap scorer, not reference data).
+ABBREVIATIONS = {"sr": "senior", "snr": "senior", "engr": "engineer", "eng": "engineer",
+                 "ml": "machine learning", "sw": "software", "sci": "scientist"}
+
+
+def normalise_title(c: Column) -> Column:
+    """Lower-case, non-alphanumerics to single spaces, abbreviations expanded."""
+    t = F.concat(F.lit(" "), F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), F.lit(" "))
+    for short, full in ABBREVIATIONS.items():
+        t = F.regexp_replace(t, f" {short}(?= )", f" {full}")
+    return F.trim(t)
+
+
 def title_tokens(c: Column) -> Column:
-    return F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(normalise_title(c), " "), "")
 
 
 def _label_tokens(label: str) -> list[str]:

@@ -242,9 +242,11 @@ def test_unlabelled_reemits_null_label(spark):
 def test_title_overlap_scorer(spark):
     df = spark.createDataFrame([("SR. DATA ENGINEER",), ("Data Engineer II",), ("Chef",), (None,)], "job_title string")
     out = {r.job_title: r.job_title_clean for r in titles.classify_titles(df).collect()}
-    assert out == {"SR. DATA ENGINEER": "Data Engineer", "Data Engineer II": "Data Engineer"}
-    df2 = spark.createDataFrame([("Senior Data Engineer",)], "job_title string")
-    assert titles.classify_titles(df2).first().job_title_clean == "Senior Data Engineer"
+    assert out == {"SR. DATA ENGINEER": "Senior Data Engineer", "Data Engineer II": "Data Engineer"}
+    df2 = spark.createDataFrame([("Senior Data Engineer",), ("Sr. ML Engr",), ("SW Eng",)], "job_title string")
+    out2 = {r.job_title: r.job_title_clean for r in titles.classify_titles(df2).collect()}
+    assert out2 == {"Senior Data Engineer": "Senior Data Engineer",
+                    "Sr. ML Engr": "Machine Learning Engineer", "SW Eng": "Software Engineer"}
 
 
 def test_title_pluggable_scorer(spark):
@@ -395,3 +397,8 @@ def test_ansi_safe_division_and_index(spark):
     views = spark.createDataFrame([("DE", 1, 0)], "Geography string, Views long, `Watch time (hours)` long")
     codes = spark.createDataFrame([("DE", "Germany")], "code string, country string")
     assert geo.country_weights(views, codes).first().percent is None     # 0/0 -> NULL, no error
+
+
+def test_element_values_and_star_exclusion(spark):
+    df = spark.createDataFrame([(1, [("a",), ("b",)])], "k int, kw array<struct<element string>>")
+    assert df.select(public.element_values("kw").alias("v")).first().v == ["a", "b"]

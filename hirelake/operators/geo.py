@@ -41,13 +41,21 @@ def country_weights(views: DataFrame, codes: DataFrame, *, geography: str = "Geo
             .select("country", "percent"))
 
 
-def weighted_order(df: DataFrame, weight: str, *, seed: int, out: str = "draw_rank") -> DataFrame:
+def weighted_order(df: DataFrame, weight: str, *, seed: int, key: Sequence[str] | None = None,
+                   out: str = "draw_rank") -> DataFrame:
     """O3: weighted random permutation without replacement (Efraimidis-Spirakis:
-    sort by -ln(U)/w ascending, U uniform in (0, 1], seeded)."""
-    u = F.lit(1.0) - F.rand(seed)
-    key = -F.log(u) / F.col(weight)
-    return df.withColumn("_es_key", key).withColumn(
-        out, F.row_number().over(Window.orderBy("_es_key"))).drop("_es_key")
+    sort by -ln(U)/w ascending).
+
+    U in (0, 1] comes from a seeded 64-bit hash of the row's key columns
+    (default: every column but the weight), not from ``rand``: the draw of a
+    row does not depend on row order inside a partition, so it is the same
+    on every task retry and under any plan."""
+    key = [c for c in df.columns if c != weight] if key is None else list(key)
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
+    u = (F.pmod(h, F.lit(1 << 53)) + 1).cast("double") / float(1 << 53)
+    return (df.withColumn("_es_key", -F.log(u) / F.col(weight))
+            .withColumn(out, F.row_number().over(Window.orderBy("_es_key", *key)))
+            .drop("_es_key"))
 
 
 def search_plan(locations: DataFrame, location: str, terms: Sequence[str] = SEARCH_TERMS,

@@ -51,6 +51,15 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+PAGE_SCHEMA = ("search_term string, search_location string, result_offset bigint, "
+               "error boolean, results string")
+
+
+def read_pages(spark: SparkSession, path: str, *, fmt: str = "json") -> DataFrame:
+    """S1/K2 batch side: landed raw pages (one JSON object per line), fixed schema."""
+    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
+
+
 def read_where(df: DataFrame, columns: list[str], predicate: Column) -> DataFrame:
     """S3: the "select these columns where ..." source query, expressed lazily
     so that Catalyst prunes columns and pushes the predicate into the scan."""

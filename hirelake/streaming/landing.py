@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.fact import archive_rows, json_postings
-
-PAGE_SCHEMA = ("search_term string, search_location string, result_offset bigint, "
-               "error boolean, results string")
+from ..sources.tables import PAGE_SCHEMA
 
 
 def page_stream(spark: SparkSession, path: str, *, fmt: str = "json",

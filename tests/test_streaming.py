@@ -17,7 +17,8 @@ def test_stream_matches_batch(spark, smoke_dir):
                               os.path.join(base, "out"), os.path.join(base, "ckpt"))
     q.awaitTermination(300)
     streamed = spark.read.parquet(os.path.join(base, "out"))
-    batch = fact_ops.json_postings(fact_ops.archive_rows(pages))
+    from hirelake.sources.tables import read_pages
+    batch = fact_ops.json_postings(fact_ops.archive_rows(read_pages(spark, os.path.join(base, "landing"))))
     assert canonical(*spark_rows(streamed)) == canonical(*spark_rows(batch))
     # A restart from the checkpoint processes nothing twice.
     q2 = landing.write_parquet(landing.fact_stream(landing.page_stream(spark, os.path.join(base, "landing"))),

@@ -31,6 +31,17 @@ FACT_COLUMNS = [
     "search_term", "search_location", "search_time", "search_id",
 ]
 
+# One posting of jobs_results, as read from the page (unknown keys ignored;
+# a field whose value does not cast becomes NULL on its own).
+JOB_SCHEMA = (
+    "struct<job_id string, title string, company_name string, location string, via string, "
+    "description string, thumbnail string, extensions array<string>, "
+    "detected_extensions struct<posted_at string, salary string, schedule_type string, "
+    "work_from_home boolean, commute_time string>, "
+    "job_highlights array<struct<title string, items array<string>>>, "
+    "related_links array<struct<link string, text string>>>"
+)
+
 # Typed landing column -> fact column.
 TYPED_RENAMES = {
     "title": "job_title", "company_name": "company_name", "location": "job_location",
@@ -95,49 +106,55 @@ def archive_rows(pages: DataFrame, *, results: str = "results") -> DataFrame:
 
 
 # -------------------------------------------------------- P3 - P9, J2
-def _highlight(job: Column, title: str) -> Column:
+def _highlight(highlights: Column, title: str) -> Column:
     """P5: items of the first of blocks 0..2 whose title matches, else NULL."""
     out = None
     for i in range(HIGHLIGHT_POSITIONS):
-        hit = _get(job, f"$.job_highlights[{i}].title") == F.lit(title)
-        items = _get(job, f"$.job_highlights[{i}].items", "array<string>")
-        out = F.when(hit, items) if out is None else out.when(hit, items)
+        block = F.get(highlights, i)
+        hit = block["title"] == F.lit(title)
+        out = F.when(hit, block["items"]) if out is None else out.when(hit, block["items"])
     return out
 
 
 def json_postings(archive: DataFrame, *, results: str = "results") -> DataFrame:
-    """S1 + P3 + J2 + P4-P9: one row per posting of every successful page."""
+    """S1 + P3 + J2 + P4-P9: one row per posting of every successful page.
+
+    Each posting is cast once from VARIANT to a fixed struct; every field
+    below is then a plain struct access (no repeated path navigation)."""
     ok = archive.where(~F.col("error"))                                  # P3 (NULL drops too)
     jobs = _get(as_variant(archive, results), "$.jobs_results", "array<variant>")
     exploded = ok.select("*", F.explode_outer(jobs).alias("_job"))       # J2
-    j = F.col("_job")
-    link0, link1 = _get(j, "$.related_links[0].link"), _get(j, "$.related_links[1].link")
-    text0, text1 = _get(j, "$.related_links[0].text"), _get(j, "$.related_links[1].text")
+    typed = exploded.withColumn("_j", F.try_variant_get("_job", "$", JOB_SCHEMA))
+    j = F.col("_j")
+    ext = j["detected_extensions"]
+    links, hl = j["related_links"], j["job_highlights"]
+    link0, link1 = F.get(links, 0)["link"], F.get(links, 1)["link"]
+    text0, text1 = F.get(links, 0)["text"], F.get(links, 1)["text"]
     cols = {
-        "job_id": _get(j, "$.job_id"),
-        "job_title": _get(j, "$.title"),
-        "company_name": _get(j, "$.company_name"),
-        "job_location": _get(j, "$.location"),
-        "job_via": _get(j, "$.via"),
-        "job_description": _get(j, "$.description"),
-        **{name: _highlight(j, title) for name, title in HIGHLIGHT_TITLES.items()},
-        "job_posted_at": _get(j, "$.detected_extensions.posted_at"),
-        "job_salary": _get(j, "$.detected_extensions.salary"),
-        "job_schedule_type": _get(j, "$.detected_extensions.schedule_type"),
-        "job_work_from_home": _get(j, "$.detected_extensions.work_from_home", "boolean"),   # P7
-        "job_commute_time": _get(j, "$.detected_extensions.commute_time"),
-        "job_extensions": _get(j, "$.extensions", "array<string>"),                        # P6
-        "company_link": F.when(F.left(link0, F.lit(22)) != F.lit(GOOGLE_PREFIX), link0),    # P8
-        "company_link_google": (F.when(F.left(text0, F.lit(7)) == F.lit(SEE_WEB), link0)    # P9
+        "job_id": j["job_id"],
+        "job_title": j["title"],
+        "company_name": j["company_name"],
+        "job_location": j["location"],
+        "job_via": j["via"],
+        "job_description": j["description"],
+        **{name: _highlight(hl, title) for name, title in HIGHLIGHT_TITLES.items()},
+        "job_posted_at": ext["posted_at"],
+        "job_salary": ext["salary"],
+        "job_schedule_type": ext["schedule_type"],
+        "job_work_from_home": ext["work_from_home"],                                      # P7
+        "job_commute_time": ext["commute_time"],
+        "job_extensions": j["extensions"],                                                # P6
+        "company_link": F.when(F.left(link0, F.lit(22)) != F.lit(GOOGLE_PREFIX), link0),   # P8
+        "company_link_google": (F.when(F.left(text0, F.lit(7)) == F.lit(SEE_WEB), link0)   # P9
                                 .when(F.left(text1, F.lit(7)) == F.lit(SEE_WEB), link1)),
-        "company_thumbnail": _get(j, "$.thumbnail"),
+        "company_thumbnail": j["thumbnail"],
         "error": F.col("error"),
         "search_term": F.col("search_term"),
         "search_location": F.col("search_location"),
         "search_time": F.col("search_time"),
         "search_id": F.col("search_id"),
     }
-    return exploded.select(*[c.alias(n) for n, c in cols.items()])
+    return typed.select(*[c.alias(n) for n, c in cols.items()])
 
 
 # ------------------------------------------------------------- P1 / P2
@@ -169,14 +186,6 @@ TYPED_ALLOW_LIST = ["title", "company_name", "location", "via", "description", "
                     "job_id", "thumbnail", "posted_at", "schedule_type", "salary",
                     "work_from_home", "date_time", "search_term", "search_location", "commute_time"]
 
-JOB_SCHEMA = (
-    "struct<job_id string, title string, company_name string, location string, via string, "
-    "description string, thumbnail string, extensions array<string>, "
-    "detected_extensions struct<posted_at string, salary string, schedule_type string, "
-    "work_from_home boolean, commute_time string>, "
-    "job_highlights array<struct<title string, items array<string>>>, "
-    "related_links array<struct<link string, text string>>>"
-)
 
 
 def flatten_struct(df: DataFrame, struct_col: str) -> DataFrame:

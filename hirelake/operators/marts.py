@@ -172,19 +172,21 @@ def skill_trend(wide: DataFrame, *, top_n: int = 5, window_rows: int = 14,
     The rolling frames count rows (days present), not calendar days: a skill
     row exists only on days the skill occurs, totals on every day."""
     base = _where(wide, predicate)
-    exploded = base.select(F.to_date(ts).alias("date"), F.explode(skills).alias("skill"))
+    # Two scans of the wide table in all: per (day, skill) counts feed both
+    # the top-n and the trend; per-day totals feed both the rolling total and
+    # the grand total.  Both aggregates are partial (map-side).
+    daily_all = (base.select(F.to_date(ts).alias("date"), F.explode(skills).alias("skill"))
+                 .groupBy("date", "skill").agg(_count_rows().alias("daily_skill_count")))
     # O2: top-n with a tie-break by skill; the limit is a proven size bound.
-    top = (exploded.groupBy("skill").agg(_count_rows().alias("_n"))
+    top = (daily_all.groupBy("skill").agg(F.sum("daily_skill_count").alias("_n"))
            .orderBy(F.desc("_n"), "skill").limit(top_n).select("skill"))
-    daily_skill = (exploded.join(F.broadcast(top), "skill", "left_semi")   # J6
-                   .groupBy("date", "skill").agg(_count_rows().alias("daily_skill_count")))
+    daily_skill = daily_all.join(F.broadcast(top), "skill", "left_semi")          # J6
+    day_totals = base.groupBy(F.to_date(ts).alias("date")).agg(_count_rows().alias("_day_total"))
     # One row per day: the unpartitioned window sees days, not postings.
     frame = Window.orderBy("date").rowsBetween(-(window_rows - 1), 0)
-    rolling_total = (base.groupBy(F.to_date(ts).alias("date"))
-                     .agg(_count_rows().alias("_day_total"))
-                     .select("date", F.sum("_day_total").over(frame).alias("_rolling_total")))
+    rolling_total = day_totals.select("date", F.sum("_day_total").over(frame).alias("_rolling_total"))
     skill_frame = Window.partitionBy("skill").orderBy("date").rowsBetween(-(window_rows - 1), 0)
-    total_jobs = base.agg(_count_rows()).scalar()
+    total_jobs = day_totals.agg(F.sum("_day_total").cast("bigint")).scalar()
     return (daily_skill.join(rolling_total, "date")
             .select("date", "skill",
                     F.try_divide(F.sum("daily_skill_count").over(skill_frame),

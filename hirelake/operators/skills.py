@@ -26,7 +26,7 @@ EDGE_PUNCT = r"""^[,;:!?*\-()"']+|[.,;:!?*\-()"']+$"""
 # The same rule applied to a whole text at once: a leading run after a
 # space (or the start) and a trailing run before a space (or the end).
 EDGE_PUNCT_TEXT = r"""(?<=^|\s)[,;:!?*\-()"']+|[.,;:!?*\-()"']+(?=\s|$)"""
-MAX_NGRAM = 3
+MAX_PHRASE_TOKENS = 3   # longest keyword: "ruby on rails"
 
 
 def tokens(text: str | Column) -> Column:
@@ -39,26 +39,6 @@ def tokens(text: str | Column) -> Column:
     return F.array_remove(F.split(cleaned, r"\s+"), "")
 
 
-def _shifted_grams(joined: Column, n: int) -> Column:
-    """n-grams of a single-space-joined token string, n >= 2.
-
-    Each token followed by n-1 more is rewritten as the n-gram plus a tab
-    (a lookahead keeps the following tokens for the next match); splitting
-    on tabs leaves the unmatched tail as the last element, which is cut."""
-    ahead = " ".join(["(\\S+)"] * (n - 1))
-    pattern = f"(\\S+) (?={ahead})"
-    repl = " ".join(f"${i}" for i in range(1, n + 1)) + "\t"
-    parts = F.split(F.regexp_replace(joined, pattern, repl), "\t")
-    return F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
-
-
-def ngrams(tok: Column, n_max: int = MAX_NGRAM) -> Column:
-    """All 1..n_max-grams of a token array: unigrams, then 2-grams, then 3-grams,
-    each in text order.  No higher-order function is involved."""
-    joined = F.array_join(tok, " ")
-    return F.concat(tok, *[_shifted_grams(joined, n) for n in range(2, n_max + 1)])
-
-
 def _lower_list(words: Sequence[str]) -> Column:
     seen, out = set(), []
     for w in words:

@@ -409,3 +409,11 @@ def test_ansi_safe_division_and_index(spark):
 def test_element_values_and_star_exclusion(spark):
     df = spark.createDataFrame([(1, [("a",), ("b",)])], "k int, kw array<struct<element string>>")
     assert df.select(public.element_values("kw").alias("v")).first().v == ["a", "b"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from hirelake.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, executors_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600      # 100 TB / 256 MB
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10 * 1024 ** 3, executors_cores=8000)["spark.sql.shuffle.partitions"]) == 24000

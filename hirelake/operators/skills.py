@@ -26,7 +26,6 @@ EDGE_PUNCT = r"""^[,;:!?*\-()"']+|[.,;:!?*\-()"']+$"""
 # The same rule applied to a whole text at once: a leading run after a
 # space (or the start) and a trailing run before a space (or the end).
 EDGE_PUNCT_TEXT = r"""(?<=^|\s)[,;:!?*\-()"']+|[.,;:!?*\-()"']+(?=\s|$)"""
-MAX_PHRASE_TOKENS = 3   # longest keyword: "ruby on rails"
 
 
 def tokens(text: str | Column) -> Column:

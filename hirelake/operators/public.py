@@ -5,7 +5,9 @@ job_location); NULLs in the key compare equal.  The reference keeps an
 arbitrary row (ROW_NUMBER without ORDER BY); here the survivor is the
 earliest search (search_time, search_id, job_id), chosen by a map-side
 combinable ``min`` so that a key shared by a third of all rows (the NULL
-postings of empty pages, say) is reduced before the shuffle.
+postings of empty pages, say) is reduced before the shuffle.  The shuffle
+is keyed by a digest of the five key columns, so the description text,
+which the public table does not keep, never travels.
 """
 
 from __future__ import annotations
@@ -20,10 +22,20 @@ DEDUP_KEYS = ["company_name", "job_title", "job_schedule_type", "job_description
 TIE_BREAK = ["search_time", "search_id", "job_id"]
 
 
+def dedup_key(cols: list[str]) -> "Column":
+    """SHA-256 of the key tuple, serialised unambiguously (``to_json`` keeps
+    NULL apart from an empty string), so equal keys - NULLs included - get
+    equal digests.  Grouping on the 32-byte digest keeps long texts such as
+    the description out of the shuffle."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256))
+
+
 def public_table(wide: DataFrame, *, keywords: str = "keywords_all") -> DataFrame:
-    needed = DEDUP_KEYS + TIE_BREAK + ["job_title_final", "job_via", "job_work_from_home",
-                                       "job_no_degree_mention", "job_health_insurance", keywords]
-    one = dedup_by_key(wide.select(*needed), DEDUP_KEYS, TIE_BREAK)          # W1 + A13
+    carried = [c for c in DEDUP_KEYS if c != "job_description"]
+    needed = carried + TIE_BREAK + ["job_title_final", "job_via", "job_work_from_home",
+                                    "job_no_degree_mention", "job_health_insurance", keywords]
+    keyed = wide.select(dedup_key(DEDUP_KEYS).alias("_key"), *needed)
+    one = dedup_by_key(keyed, ["_key"], TIE_BREAK)                             # W1 + A13
     return one.select(
         "job_title_final",
         F.col("job_title").alias("job_title_original"),

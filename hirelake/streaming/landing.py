@@ -32,20 +32,35 @@ def fact_stream(pages: DataFrame) -> DataFrame:
     return json_postings(archive_rows(pages))
 
 
+def event_instant(ts: str) -> "F.Column":
+    """A TIMESTAMP_NTZ wall clock as the instant with that wall clock in UTC,
+    computed arithmetically, so the session time zone plays no part and
+    one-day windows coincide with calendar days."""
+    c = F.col(ts)
+    seconds = (F.unix_date(F.to_date(c)).cast("bigint") * 86400
+               + F.hour(c) * 3600 + F.minute(c) * 60)
+    micros = seconds * 1000000 + (F.second(c).cast("bigint") * 1000000)
+    return F.timestamp_micros(micros)
+
+
+def utc_date(instant: "F.Column") -> "F.Column":
+    """Calendar date (UTC) of an instant, independent of the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(instant) / 86400000000).cast("int"))
+
+
 def daily_counts(postings: DataFrame, *, watermark: str = "1 day") -> DataFrame:
     """M14 on a stream: COUNT(job_id) per search day, final once the watermark passes."""
-    ts = F.col("search_time").cast("timestamp")
-    return (postings.withColumn("_ts", ts)
+    return (postings.withColumn("_ts", event_instant("search_time"))
             .withWatermark("_ts", watermark)
             .groupBy(F.window("_ts", "1 day").alias("day"))
             .agg(F.count("job_id").alias("jobs_daily"))
-            .select(F.to_date(F.col("day.start")).alias("search_date"), "jobs_daily"))
+            .select(utc_date(F.col("day.start")).alias("search_date"), "jobs_daily"))
 
 
 def dedup_jobs(postings: DataFrame, *, watermark: str = "1 day") -> DataFrame:
     """A11 on a stream: keep the first posting of a job id seen within the watermark."""
     return (postings.where(F.col("job_id").isNotNull())
-            .withColumn("_ts", F.col("search_time").cast("timestamp"))
+            .withColumn("_ts", event_instant("search_time"))
             .withWatermark("_ts", watermark)
             .dropDuplicatesWithinWatermark(["job_id"])
             .drop("_ts"))

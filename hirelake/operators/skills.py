@@ -83,13 +83,17 @@ def tag_columns(tok: Column, categories: Mapping[str, Sequence[str]] | None = No
         lists[all_column] = [w for words in lists.values() for w in words]
     phrases = sorted({w for words in lists.values() for w in words if " " in w})
     found = _find_phrases(joined, phrases) if phrases else None
+    # One pass over the tokens for every single-word keyword; the categories
+    # then split that short hit list (same elements, same order).
+    every_uni = [w for words in lists.values() for w in words if " " not in w]
+    hits = F.array_intersect(tok, _lower_list(every_uni)) if every_uni else None
     cols = {}
     for name, words in lists.items():
         uni = [w for w in words if " " not in w]
         multi = [w for w in words if " " in w]
         parts = []
         if uni:
-            parts.append(F.array_intersect(tok, _lower_list(uni)))
+            parts.append(F.array_intersect(hits, _lower_list(uni)))
         if multi:
             parts.append(F.array_intersect(found, _lower_list(multi)))
         arr = parts[0] if len(parts) == 1 else F.concat(*parts)

@@ -6,8 +6,10 @@ job_id, and Spark reuses the fact's hash partitioning for the second one
 (one shuffle of the fact).  The country and title dimensions are small by
 nature (one row per location / distinct title); they are not hinted: AQE
 turns those joins into broadcasts only after measuring their real size,
-and keeps a shuffle join beyond the threshold.  AQE's skew-join split
-handles a hot job id (e.g. the NULL posting of empty pages).
+and keeps a shuffle join beyond the threshold.  Fact rows with a NULL job
+id bypass the job-id joins (they can match nothing); a hot non-NULL job id
+(one posting seen in many searches) meets a single dimension row, and
+AQE's skew-join split divides it.
 """
 
 from __future__ import annotations
@@ -34,8 +36,14 @@ def build_wide(fact: DataFrame, skills: DataFrame, country: DataFrame, salary: D
     s_cols = [c for c in s.columns if c != key]
     c_cols = [c for c in country.columns if c != "search_location"]
     d_cols = [c for c in salary.columns if c != key]
-    joined = (fact.join(s, key, "left")
-              .join(salary, key, "left")
+    # Rows without a job id can match no job-id dimension: they bypass the
+    # two job-id joins instead of all landing in one shuffle partition (the
+    # NULL postings of empty pages can be a large share of the fact).
+    keyed = (fact.where(F.col(key).isNotNull())
+             .join(s, key, "left")
+             .join(salary, key, "left"))
+    unkeyed = fact.where(F.col(key).isNull())
+    joined = (keyed.unionByName(unkeyed, allowMissingColumns=True)
               .join(country, "search_location", "left")
               .join(titles, "job_title", "left"))
     final = F.coalesce(F.col("job_title_clean"), F.col("search_term"))       # P12

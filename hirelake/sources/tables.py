@@ -18,11 +18,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCANS: dict[tuple[int, str, bool], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None, *, spread_out: bool = False) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread(df) if spread_out else df
+    """Scan of a read-only input table.  The scan (and the spread decision)
+    is made once per session and path: a query that reads a table several
+    times does not list the files and read the footers again each time
+    (DataFrames are immutable, so sharing the scan is safe)."""
+    path = table_path(sf_dir, name)
+    key = (id(spark), path, spread_out)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        df = spread(df) if spread_out else df
+        _SCANS[key] = df
+    return df.select(*columns) if columns else df
 
 
 SMALL_SCAN_TASKS = 16

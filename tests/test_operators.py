@@ -353,7 +353,8 @@ def test_csv_multiline_and_na(spark, tmp_path):
 
 
 def test_star_join_shapes(spark):
-    fact = spark.createDataFrame([("1", "t1", "loc", "term", dt.datetime(2023, 1, 1))],
+    fact = spark.createDataFrame([("1", "t1", "loc", "term", dt.datetime(2023, 1, 1)),
+                                  (None, None, "other", "term2", None), (None, None, "other", "term2", None)],
                                  "job_id string, job_title string, search_location string, search_term string, "
                                  "search_time timestamp_ntz")
     sk = spark.createDataFrame([("1", "d", ["sql"])], "job_id string, job_description string, keywords_all array<string>")
@@ -361,7 +362,10 @@ def test_star_join_shapes(spark):
     sa = spark.createDataFrame([("1", 10.0)], "job_id string, salary_avg double")
     ti = spark.createDataFrame([("t2", "T")], "job_title string, job_title_clean string")
     w = wide.build_wide(fact, sk, co, sa, ti)
-    r = w.first()
+    nulls = w.where("job_id IS NULL").collect()
+    assert len(nulls) == 2 and all(n.salary_avg is None and n.keywords_all is None for n in nulls)
+    assert all(n.search_country == "C" for n in nulls)          # non-key joins still apply
+    r = w.where("job_id = '1'").first()
     assert w.columns[:3] == ["job_title_final", "job_title_clean", "job_id"]
     assert r.job_title_final == "term" and r.search_country is None and r.keywords_all == ["sql"]
     assert "job_description" not in w.columns

@@ -421,3 +421,19 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600      # 100 TB / 256 MB
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10 * 1024 ** 3, executors_cores=8000)["spark.sql.shuffle.partitions"]) == 24000
+
+
+def test_time_handling_ignores_session_zone(spark):
+    from hirelake.streaming.landing import event_instant, utc_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2023-01-05 23:59:59 UTC",), ("1999-09-05 00:00:00 UTC",), ("bad",)], "s string")
+        parsed = [r.t for r in df.select(fact_ops.parse_zoned_time("s").alias("t")).collect()]
+        assert parsed == [dt.datetime(2023, 1, 5, 23, 59, 59), dt.datetime(1999, 9, 5), None]
+        days = df.select(fact_ops.parse_zoned_time("s").alias("search_time")).where("search_time IS NOT NULL")
+        got = [r.d for r in days.select(utc_date(F.window(event_instant("search_time"), "1 day").start)
+                                        .alias("d")).collect()]
+        assert got == [dt.date(2023, 1, 5), dt.date(1999, 9, 5)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -15,9 +15,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: In force while a scratch table is written: its shuffle files go when the
+#: job ends (all later steps read the table), and Arrow batches stay small.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+           "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,14 +54,15 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the written table.  Shuffle files of the
-        job go when it ends: everything later reads the table."""
-        before = self.spark.conf.get(SHUFFLE_CLEANUP, "false")
-        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        """Write ``df`` and return the written table."""
+        before = {k: self.spark.conf.get(k, None) for k in WRITING}
         try:
+            for k, v in WRITING.items():
+                self.spark.conf.set(k, v)
             df.write.option("compression", "zstd").parquet(self.path(name))
         finally:
-            self.spark.conf.set(SHUFFLE_CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -77,7 +82,7 @@ def in_fold(key: str, folds: int, number: int) -> Column:
     return F.coalesce(fold(key, folds) == number, F.lit(False))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches where the texts reach ``most`` bytes (one row at
     least), which bounds what a task holds at a time."""
     for batch in batches:
@@ -124,19 +129,20 @@ def prefix_sums(scratch: Scratch, rows: DataFrame, order: list[str], value: str,
                 [*batch.columns, pa.array([part] * len(values), pa.int32()), pa.array(before, pa.int64())],
                 names=[*at, "part", "part_before"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("part int, part_before long")])
     ranged = rows.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
-    ranged = scratch.write(ranged.mapInArrow(local, f"{schema}, part int, part_before long"), name)
+    ranged = scratch.write(ranged.mapInArrow(local, schema), name)
     by = [group] if group else []
     totals = ranged.groupBy("part", *by).agg(F.sum(value).alias("part_total"))
     window = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("part", *by, F.coalesce(F.sum("part_total").over(window), F.lit(0)).alias("base"))
-    match = ranged["part"] == bases["part"]
+    bases = totals.select(F.col("part").alias("of_part"), *(F.col(g).alias("of_group") for g in by),
+                          F.coalesce(F.sum("part_total").over(window), F.lit(0)).alias("base"))
+    match = F.col("part") == F.col("of_part")
     if group:
-        match &= ranged[group].eqNullSafe(bases[group])
+        match &= F.col(group).eqNullSafe(F.col("of_group"))
     # one row for a part (and group): bounded by the number of partitions
     return (ranged.join(F.broadcast(bases), match)
-            .select(*(ranged[c] for c in at), (ranged["part_before"] + bases["base"]).alias("before")))
+            .select(*at, (F.col("part_before") + F.col("base")).alias("before")))
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import common, idstore, pack
+from hirelake.llm import common, forest, idstore, jaccard, licences, linededup, mixing, nndescent, pack, toxicity
+
+#: Target shares of sources; all others share one.
+TARGETS, OTHERS = {"src0": 25.0, "src1": 15.0, "src2": 10.0, "src3": 5.0}, 45.0
 
 
 def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +19,16 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return mixing.mix(docs.select("doc_id", "source", "text"), TARGETS, OTHERS).select(
+        "row.doc_id", "row.source", "class", "block", "slot", "place")
+
+
+def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def op4_hashed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     folder = common.Scratch(spark, "idstore").root
@@ -25,9 +38,44 @@ def op4_hashed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.fetch(spark, folder, keys).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("row.doc_id", common.in_fold("row.doc_id", 3, 1).alias("held_out"), "score",
+                         toxicity.threshold().alias("predicted"), F.size("hits").alias("n_hits"))
+
+
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.nearest(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.summary(licences.scan(common.table(spark, sf_dir, "documents")))
+
+
+def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(common.table(spark, sf_dir, "documents"))
+
+
+def op10_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.drop_recurring(common.table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "emptied", "cleaned_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_packing": op1_hilbert_packing,
+    "op2_pfair_mixing": op2_pfair_mixing,
+    "op3_projection_forest": op3_projection_forest,
     "op4_hashed_id_store": op4_hashed_id_store,
+    "op5_lexicon_toxicity": op5_lexicon_toxicity,
+    "op6_nn_descent": op6_nn_descent,
+    "op7_licence_scan": op7_licence_scan,
+    "op8_chosen_path_join": op8_chosen_path_join,
+    "op10_template_line_dedup": op10_template_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_chosen_path_join": jaccard.ORACLE_SQL,
+    "op10_template_line_dedup": linededup.ORACLE_SQL,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import common, forest, idstore, jaccard, licences, linededup, mixing, nndescent, pack, toxicity
+from hirelake.llm import common, forest, idstore, jaccard, katz, licences, linededup, mixing, nndescent, pack, toxicity
 
 #: Target shares of sources; all others share one.
 TARGETS, OTHERS = {"src0": 25.0, "src1": 15.0, "src2": 10.0, "src3": 5.0}, 45.0
@@ -58,6 +58,10 @@ def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(common.table(spark, sf_dir, "documents"))
 
 
+def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(common.table(spark, sf_dir, "documents"), common.in_fold("doc_id", 7, 2))
+
+
 def op10_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.drop_recurring(common.table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", "emptied", "cleaned_text")
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nn_descent": op6_nn_descent,
     "op7_licence_scan": op7_licence_scan,
     "op8_chosen_path_join": op8_chosen_path_join,
+    "op9_katz_backoff": op9_katz_backoff,
     "op10_template_line_dedup": op10_template_line_dedup,
 }
 

@@ -322,10 +322,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     the lexicon was met (token from 0, term, edits, quoted, weight)."""
     place = pa.struct([("token", pa.int64()), ("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_()),
                        ("weight", pa.float64())])
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
+
+    def with_text(batches):
+        for batch in batches:
+            row = batch.column("row")
+            yield pa.RecordBatch.from_arrays([row, pc.fill_null(row.field("text"), "")], names=["row", "text"])
 
     def run(batches):
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(with_text(batches), "text"):
             found = hits(model.automaton, batch.column("text"))
             text, token, term, cost, quoted, weight, n_tokens = found
             value = model.probability(features(*found))

@@ -7,10 +7,14 @@ word once with the tokenizers library and remembers it.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
+import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from hirelake.llm import words
 
@@ -25,7 +29,8 @@ class Encoder:
     """Encodes Arrow arrays of texts.  ``remembered``: words held at most;
     beyond, the memory starts anew (results stay the same)."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 500_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -38,61 +43,73 @@ class Encoder:
 
     def reset(self):
         self.rows: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 16, np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
+        self.bounds = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _remember(self, new: list[str], lists: list[list[int]]):
-        n, need = len(self.rows), self.used + sum(map(len, lists))
-        while need > len(self.ids):
+    def _remember(self, new: list[str], ids: np.ndarray, ends: np.ndarray):
+        """``ids`` of the new words one after another, each up to its end."""
+        n = len(self.rows)
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(new) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[self.used:need] = np.fromiter((i for x in lists for i in x), np.uint32, need - self.used)
-        self.starts[n + 1:n + 1 + len(new)] = self.used + np.cumsum([len(x) for x in lists])
-        self.used = need
+        while n + len(new) + 1 > len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.bounds[n + 1:n + 1 + len(new)] = self.used + ends
+        self.used += len(ids)
         self.rows.update(zip(new, range(n, n + len(new)), strict=True))
 
-    def _each(self, new: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+    def _each(self, new: list[str]):
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+        return np.fromiter((i for x in lists for i in x), np.int64, ends[-1] if lists else 0), ends
 
-    def _learn(self, new: list[str]):
+    def _learn(self, new: pa.Array):
         """Words of letters are encoded in one text and parted at the tokens
         that end a word; all others one by one."""
-        plain = [w for w in new if w.isalpha()]
-        closed = [w for w in new if not w.isalpha() and w[:-1].isalpha() and w[-1] in ",.;:!?"]
-        rest = [w for w in new if not w.isalpha() and not (w[:-1].isalpha() and w[-1] in ",.;:!?")]
-        self._remember(rest, self._each(rest))
-        for group, pieces in ((plain, 1), (closed, 2)):
-            for k in range(0, len(group), 512):
-                part = group[k:k + 512]
-                ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
-                cuts = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else ids
-                if len(cuts) == pieces * len(part) and len(ids) == cuts[-1]:
-                    lists = np.split(ids, cuts[pieces - 1::pieces][:-1])
-                else:
-                    lists = self._each(part)
-                self._remember(part, [x if isinstance(x, list) else x.tolist() for x in lists])
+        plain = pc.utf8_is_alpha(new)
+        self._remember(rest := new.filter(pc.invert(plain)).to_pylist(), *self._each(rest))
+        letters = new.filter(plain).to_pylist()
+        parts = [letters[k:k + 512] for k in range(0, len(letters), 512)]
+        texts = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, text in zip(parts, texts, strict=True):
+            ids = np.array(text.ids, np.int64)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                ids, ends = self._each(part)
+            self._remember(part, ids, ends)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, text offsets)."""
-        distinct, index, offsets = words.split(texts)
-        found = distinct.to_pylist()
-        if len(self.rows) + len(found) > self.remembered:
+        # text that may name a special token stays as it is; in all other the
+        # tokenizer would lower-case A-Z and part a mark from a word anyway
+        special = pc.match_substring(texts, "<|")
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([,.;:!?])(\s)", r"\1 \2\3")
+        distinct, index, offsets = words.split(pc.if_else(special, texts, plain))
+        if len(self.rows) + len(distinct) > self.remembered:
             self.reset()
-        new = [w for w in found if w not in self.rows and w]
-        if new:
-            self._learn(new)
-        rows = np.fromiter((self.rows.get(w, 0) for w in found), np.int64, len(found))
+        found = distinct.to_pylist()
+        rows = np.fromiter(map(self.rows.get, found, itertools.repeat(-1)), np.int64, len(found))
+        unknown = np.flatnonzero(rows < 0)
+        if len(unknown):
+            self._learn(distinct.take(pa.array(unknown)))
+            rows[unknown] = np.fromiter((self.rows[found[i]] for i in unknown.tolist()), np.int64, len(unknown))
         if not len(index):
-            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        starts, sizes = self.starts[rows], self.starts[rows + 1] - self.starts[rows]
+            return np.zeros(0, self.ids.dtype), np.zeros(len(offsets), np.int64)
+        starts, sizes = self.bounds[rows], self.bounds[rows + 1] - self.bounds[rows]
         sizes = sizes[index]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.repeat(starts[index] - ends[:-1], sizes) + np.arange(ends[-1])
+        at = np.repeat(starts[index] - ends[:-1], sizes)
+        at += np.arange(ends[-1])
         return self.ids[at], ends[offsets]
 
 
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The Python worker's encoder: words stay remembered from task to task."""
+    return Encoder(path)
+
+
 def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end`` after each text's ids."""
     n = len(offsets) - 1

@@ -75,7 +75,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int =
     spark, tokenizer = docs.sparkSession, tokenizer or encode.default_tokenizer()
 
     def records(batches):
-        encoder = encode.Encoder(tokenizer)
+        encoder = encode.encoder(tokenizer)
         kind = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
         shard, record, ahead, held, last, count = TaskContext.get().partitionId(), 0, 0, [], None, 0
 

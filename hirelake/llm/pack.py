@@ -77,7 +77,7 @@ def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     integers, 32-bit ones where the vocabulary needs them."""
 
     def run(batches):
-        encoder = encode.Encoder(tokenizer)
+        encoder = encode.encoder(tokenizer)
         curve = Curve(max(len(encoder.ends), end + 1))
         kind = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 33

@@ -22,7 +22,9 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         full = index != empty
         offsets = np.concatenate([[0], np.cumsum(full)])[offsets - offsets[0]]
         index = index[full]
-    return coded.dictionary, index, offsets - offsets[0]
+        index = index - (index > empty)
+    distinct = coded.dictionary if empty < 0 else coded.dictionary.filter(pc.not_equal(coded.dictionary, ""))
+    return distinct, index, offsets - offsets[0]
 
 
 def code(word: str) -> int:

@@ -18,14 +18,15 @@ def new_keys(source: DataFrame, dim: DataFrame, key: str, *, null_aware: bool =
 
     Default: ``left_anti`` on non-NULL keys.  ``null_aware=True`` gives the
     exact ``NOT IN (subquery)`` result: a NULL key in ``dim`` empties the
-    result (expressed as NOT EXISTS over the dim's NULL keys, not as a
-    nested-loop join)."""
-    src = source.where(F.col(key).isNotNull())
-    out = src.join(dim.select(key).where(F.col(key).isNotNull()), key, "left_anti")
-    if null_aware:
-        dim_has_null = dim.where(F.col(key).isNull()).select(F.lit(1)).exists()
-        out = out.where(~dim_has_null)
-    return out
+    result, a NULL key in ``source`` is left out unless ``dim`` is empty
+    (expressed as EXISTS over the dim, not as a nested-loop join)."""
+    known = dim.select(key).where(F.col(key).isNotNull())
+    if not null_aware:
+        return source.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    dim_has_null = dim.where(F.col(key).isNull()).select(F.lit(1)).exists()
+    dim_is_empty = ~dim.select(F.lit(1)).exists()
+    return (source.join(known, key, "left_anti")
+            .where((F.col(key).isNotNull() | dim_is_empty) & ~dim_has_null))
 
 
 def unlabelled(source: DataFrame, dim: DataFrame, key: str, label: str) -> DataFrame:

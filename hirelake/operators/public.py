@@ -34,8 +34,9 @@ def public_table(wide: DataFrame, *, keywords: str = "keywords_all") -> DataFram
     carried = [c for c in DEDUP_KEYS if c != "job_description"]
     needed = carried + TIE_BREAK + ["job_title_final", "job_via", "job_work_from_home",
                                     "job_no_degree_mention", "job_health_insurance", keywords]
-    keyed = wide.select(dedup_key(DEDUP_KEYS).alias("_key"), *needed)
-    one = dedup_by_key(keyed, ["_key"], TIE_BREAK)                             # W1 + A13
+    # a known search time comes before an unknown one
+    keyed = wide.select(dedup_key(DEDUP_KEYS).alias("_key"), F.col("search_time").isNull().alias("_unknown"), *needed)
+    one = dedup_by_key(keyed, ["_key"], ["_unknown", *TIE_BREAK])                             # W1 + A13
     return one.select(
         "job_title_final",
         F.col("job_title").alias("job_title_original"),

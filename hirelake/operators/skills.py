@@ -24,8 +24,11 @@ from .dedup import dedup_by_key
 
 EDGE_PUNCT = r"""^[,;:!?*\-()"']+|[.,;:!?*\-()"']+$"""
 # The same rule applied to a whole text at once: a leading run after a
-# space (or the start) and a trailing run before a space (or the end).
-EDGE_PUNCT_TEXT = r"""(?<=^|\s)[,;:!?*\-()"']+|[.,;:!?*\-()"']+(?=\s|$)"""
+# space (or the start) and a trailing run before a space (or the end).  A
+# trailing run is tried only from its first character, or right after a
+# leading run, and taken without backtracking: a long run costs one pass.
+EDGE_PUNCT_TEXT = (r"""(?<!\S)[,;:!?*\-()"']++"""
+                   r"""|(?:\G|(?<![.,;:!?*\-()"']))[.,;:!?*\-()"']++(?!\S)""")
 
 
 def tokens(text: str | Column) -> Column:

@@ -7,9 +7,12 @@ job_id, and Spark reuses the fact's hash partitioning for the second one
 nature (one row per location / distinct title); they are not hinted: AQE
 turns those joins into broadcasts only after measuring their real size,
 and keeps a shuffle join beyond the threshold.  Fact rows with a NULL job
-id are salted over 1024 join keys that match nothing; a hot non-NULL job id
-(one posting seen in many searches) meets a single dimension row, and
-AQE's skew-join split divides it.
+id get join keys of their own (a hash of the row) that match nothing; a hot
+non-NULL job id (one posting seen in many searches) meets a single dimension
+row, and AQE's skew-join split divides it where
+``spark.sql.adaptive.forceOptimizeSkewedJoin`` is set (session helpers set it):
+the second job-id join reuses the first one's partitioning, and AQE otherwise
+drops a split that would add a shuffle.
 """
 
 from __future__ import annotations
@@ -17,8 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SALTS = 1024
-
 SALARY_WIDE_COLUMNS = [
     "search_term", "salary_avg", "salary_min", "salary_max", "salary_year", "salary_hour",
     "search_location", "job_location", "job_schedule_type", "job_via", "search_country", "search_time",
@@ -40,12 +41,10 @@ def build_wide(fact: DataFrame, skills: DataFrame, country: DataFrame, salary: D
     d_cols = [c for c in salary.columns if c != key]
     # A NULL job id can match no dimension row, and the NULL postings of
     # empty pages can be a large share of the fact.  They get a join key
-    # that no job id has (a NUL-prefixed hash of the row, 1024 values), so
-    # they spread over the shuffle instead of forming one hot partition,
+    # that no job id has (a NUL-prefixed hash of the row), so they spread over the shuffle instead of forming one hot partition,
     # still match nothing, and the fact is read in a single pass.
     hashable = [F.col(c) for c, t in fact.dtypes if not t.startswith(("map", "variant"))]
-    salt = F.concat(F.lit("\u0000"),
-                    F.pmod(F.xxhash64(*hashable), F.lit(NULL_SALTS)).cast("string"))
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*hashable).cast("string"))
     f = fact.withColumn("_jk", F.coalesce(F.col(key).cast("string"), salt))
     sk = s.withColumn("_sk", F.col(key).cast("string")).drop(key)
     dk = salary.withColumn("_dk", F.col(key).cast("string")).drop(key)

@@ -1,10 +1,10 @@
 """End-to-end daily build (entry point B of the reference) as one Spark job set.
 
-fact -> salary / skills / titles dimensions -> wide -> marts, public table.
-Only the stage outputs that are read many times are written (fact and
-wide); everything else stays a lazy plan over them.  Writing them to the
-output folder also cuts the lineage, so a lost executor re-runs at most
-one stage.
+pages -> archive (appended) -> fact -> salary / skills / titles dimensions ->
+wide -> marts, public table.  Every table is written and read back, so pages
+are parsed once and a description is tagged once: on later days only job ids
+and titles that the stored skills and titles lack are enriched and appended.
+Writing also cuts the lineage, so a lost executor re-runs at most one stage.
 """
 
 from __future__ import annotations
@@ -31,32 +31,50 @@ class Inputs:
 
 def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
               title_labels=None) -> dict[str, DataFrame]:
-    """Build and write fact and wide under ``out``; return the marts (lazy)."""
-    archive = fact_ops.archive_rows(inputs.pages)
-    fact = fact_ops.build_fact(archive, inputs.typed)
+    """Add the landed pages to the archive, rebuild the tables under ``out``
+    and return the marts (lazy)."""
+
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{out}/{name}")
+
+    sinks.append_rows(fact_ops.archive_rows(inputs.pages), f"{out}/archive")     # K2
+    fact = fact_ops.build_fact(table("archive"), inputs.typed)
     # Stored by search month: timeframe marts prune old partitions at the scan.
     sinks.write_table(fact.withColumn(MONTH_COL, month_of("search_time")), f"{out}/fact",
                       partition_by=[MONTH_COL])                                  # K1
-    fact = spark.read.parquet(f"{out}/fact").drop(MONTH_COL)
-
-    salary_dim = salary.salary_dimension(fact)                                   # K5 overwrite
-    skill_dim = skills.skills_dimension(fact)
-    if inputs.skill_dim is not None:                                             # T3: new ids only
-        new = skills.skills_dimension(
-            fact.join(inputs.skill_dim.select("job_id"), "job_id", "left_anti"))
-        skill_dim = inputs.skill_dim.unionByName(new, allowMissingColumns=True)
+    fact = table("fact").drop(MONTH_COL)
+
+    sinks.write_table(salary.salary_dimension(fact), f"{out}/salary")            # K5
+    known = sinks.stored(spark, f"{out}/skills")
+    if known is not None or inputs.skill_dim is not None:                        # T3: new ids only
+        given = inputs.skill_dim if known is None else known
+        new = skills.skills_dimension(fact.join(given.select("job_id"), "job_id", "left_anti"))
+        rows = (given if known is None else given.limit(0)).unionByName(new, allowMissingColumns=True)
+    else:
+        rows = skills.skills_dimension(fact)
+    sinks.append_rows(rows, f"{out}/skills")                                     # K4
+    skill_dim = table("skills")
     kw = {} if title_labels is None else {"labels": title_labels}
-    title_dim = titles.classify_titles(fact, **kw)
-    if inputs.title_dim is not None:
-        title_dim = inputs.title_dim.unionByName(titles.new_title_labels(fact, inputs.title_dim, **kw))
+    known = sinks.stored(spark, f"{out}/titles")
+    if known is not None:
+        rows = titles.new_title_labels(fact, known, **kw)
+    elif inputs.title_dim is not None:
+        rows = inputs.title_dim.unionByName(titles.new_title_labels(fact, inputs.title_dim, **kw))
+    else:
+        rows = titles.classify_titles(fact, **kw)
+    sinks.append_rows(rows, f"{out}/titles")                                     # K6
+    salary_dim, title_dim = table("salary"), table("titles")
 
     w = wide.build_wide(fact, skill_dim, inputs.country, salary_dim, title_dim)
     sinks.write_table(w.withColumn(MONTH_COL, month_of("search_time")), f"{out}/wide",
                       partition_by=[MONTH_COL])
-    w = spark.read.parquet(f"{out}/wide")
+    w = table("wide")
+    sinks.write_table(skills.keyword_listing(skill_dim), f"{out}/keywords")
+    sinks.write_table(wide.salary_wide(w), f"{out}/salary_wide")
+    sinks.write_table(public.public_table(w.drop(MONTH_COL)), f"{out}/public")
     # All four grain marts from one pass, stored once (aggregated: small).
     sinks.write_table(marts.skill_grains_all_timeframes(w, as_of), f"{out}/grains")
-    grains = spark.read.parquet(f"{out}/grains")
+    grains = table("grains")
 
     def grain(name):
         return grains.where(F.col("timeframe") == name).drop("timeframe")
@@ -64,7 +82,7 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
     return {
         "skills": marts.skills_by_timeframe(w, as_of),
         "slicer": marts.title_country_counts(w),
-        "keywords": skills.keyword_listing(skill_dim),
+        "keywords": table("keywords"),
         "alltime": grain(ALL_TIME),
         "7day": grain(LAST_7),
         "30day": grain(LAST_30),
@@ -73,17 +91,22 @@ def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
         "skill_pay": marts.skill_pay(w),
         "skill_pay_slicer": marts.skill_pay_slicer(w),
         "skill_pay_all": marts.skill_pay_all(w),
-        "salary": marts.salary_mart(wide.salary_wide(w)),
+        "salary": marts.salary_mart(table("salary_wide")),
         "num_jobs": marts.health_num_jobs(fact),
         "dates": marts.health_jobs_daily(fact),
         "last_update": marts.health_last_update(fact),
-        "public": public.public_table(w.drop(MONTH_COL)),
+        "public": table("public"),
     }
 
 
-def export_marts(marts_: dict[str, DataFrame], out: str) -> None:
-    """K7: one sharded CSV folder per mart (array columns as '|' text)."""
+def export_marts(marts_: dict[str, DataFrame], out: str) -> dict[str, int]:
+    """K7: one sharded CSV folder per mart (array columns as '|' text); the
+    rows of each, counted while it is written (K9)."""
+    counted = {}
     for name, df in marts_.items():
         flat = df.select(*[F.array_join(c, "|").alias(c) if t.startswith("array") else c
                            for c, t in df.dtypes])
-        sinks.export_csv(flat, f"{out}/{name}")
+        watched, seen = sinks.audited(flat, name)
+        sinks.export_csv(watched, f"{out}/{name}")
+        counted[name] = seen.get["rows"]
+    return counted

@@ -32,9 +32,10 @@ def main(argv=None) -> None:
                     country=ad.country_dim(spark, args.sf_dir),
                     skill_dim=ad.brand_skills(spark, args.sf_dir))
     result = build_all(spark, inputs, args.out, args.as_of)
-    if not args.no_export:
-        export_marts(result, f"{args.out}/marts")
-    print(json.dumps({name: sinks.report(df)["rows"] for name, df in result.items()}))
+    if args.no_export:
+        print(json.dumps({name: sinks.report(df)["rows"] for name, df in result.items()}))
+    else:
+        print(json.dumps(export_marts(result, f"{args.out}/marts")))
 
 
 if __name__ == "__main__":

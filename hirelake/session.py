@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("HIRELAKE_DRIVER_MEM", "8g"))
@@ -39,8 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a fresh local
-    folder is created.
+    as is; without it an error is raised.  Only for a local master (tests) a
+    fresh local folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -69,6 +72,7 @@ def cluster_conf(input_bytes: int, *, executors_cores: int, target_partition_mb:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 2}m",
         "spark.sql.shuffle.partitions": str(partitions),

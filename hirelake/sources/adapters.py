@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread  # noqa: F401
+from .tables import read_table  # noqa: F401
 
 AS_OF = "2001-08-01"          # last o_orderdate: the reporting date of the views
 JSON_START = "1998-01-01"     # orders from this date are landed as JSON pages
@@ -136,7 +136,7 @@ def posting_columns() -> dict[str, "Column"]:
 
 
 def _orders_customers(spark, sf_dir) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", spread_out=True)
+    orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
             .join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
@@ -317,7 +317,7 @@ factf AS (
 # id, flagged by its labels.  Copies of a text in the same language share the
 # de-duplication key of the public table.
 def postings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", spread_out=True)
+    docs = read_table(spark, sf_dir, "documents")
     events = read_table(spark, sf_dir, "events", ["event_id", "ts"])
     labels = read_table(spark, sf_dir, "labels")
     d = (docs.join(events, docs.doc_id == events.event_id, "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> None:
     """K1 / K5: create-or-replace a table (overwrite)."""
+    if partition_by:  # a partition's rows meet in a few tasks, not a file from every task
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -37,20 +40,32 @@ def append_rows(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
+def stored(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None before its first write."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """K7: sharded CSV export with a header, comma separated, overwrite."""
     df.write.mode("overwrite").option("header", True).option("sep", ",").csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """S5 / K7 read-back: header, quoted multi-line fields, ``""`` escapes.
-    A value such as ``NA`` stays text (no NULL token is configured)."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, multi_line: bool = True) -> DataFrame:
+    """S5 / K7 read-back: header, quoted fields, ``""`` escapes.  Lookups may
+    hold line ends in quotes (``multi_line``, one task a file); without them,
+    large files are split.  A value such as ``NA`` stays text (no NULL token is
+    configured)."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
             .option("escape", '"').csv(path))
 
 
 def audited(df: DataFrame, name: str = "load_audit") -> tuple[DataFrame, Observation]:
-    """K9: count rows and NULL keys while the write runs (no second pass)."""
+    """K9: count rows while the write runs (no second pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 

@@ -18,45 +18,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_SCANS: dict[tuple[int, str, bool], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None, *, spread_out: bool = False) -> DataFrame:
-    """Scan of a read-only input table.  The scan (and the spread decision)
-    is made once per session and path: a query that reads a table several
-    times does not list the files and read the footers again each time
-    (DataFrames are immutable, so sharing the scan is safe)."""
-    path = table_path(sf_dir, name)
-    key = (id(spark), path, spread_out)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        df = spread(df) if spread_out else df
-        _SCANS[key] = df
+               columns: list[str] | None = None) -> DataFrame:
+    """Scan of an input table."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 
-SMALL_SCAN_TASKS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan that yields fewer tasks than the cluster has cores.
-
-    A small input stored as one file with one row group is read by a single
-    task, and any heavy per-row work before the first shuffle (tagging text,
-    building or parsing JSON) then runs on one core.  Only when the scan has
-    fewer than SMALL_SCAN_TASKS splits (so at most that many times
-    ``spark.sql.files.maxPartitionBytes`` of data) and fewer than the cores
-    available are the rows redistributed round-robin; any larger input is
-    left untouched, so nothing big is ever shuffled by this."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= min(target, SMALL_SCAN_TASKS):
-        return df
-    return df.repartition(target)
-
-
 def read_typed(spark: SparkSession, path: str, schema: T.StructType,
                fmt: str = "parquet") -> DataFrame:
     """Scan with a fixed schema (no inference on large inputs)."""

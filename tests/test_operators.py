@@ -218,6 +218,8 @@ def test_anti_join_nulls(spark):
     assert [r.id for r in incremental.new_keys(src, dim, "id").collect()] == [2]
     assert [r.id for r in incremental.new_keys(src, dim_null, "id").collect()] == [2]
     assert incremental.new_keys(src, dim_null, "id", null_aware=True).count() == 0   # true NOT IN
+    none = dim.limit(0)
+    assert incremental.new_keys(src, none, "id", null_aware=True).count() == src.count()   # NULL keys stay
 
 
 def test_enrich_new_twice_appends_nothing(spark, tmp_path):

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from hirelake.plans import catalog
 from oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.QUERIES  # those of the training-data operators are tested in tests/llm
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -102,3 +102,21 @@ def test_build_all_grains_equal_per_timeframe(spark, smoke_dir):
     direct = marts.skill_grains(wide_df, ad.AS_OF, LAST_30)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(key, result["30day"].collect())) == sorted(map(key, direct.collect()))
+
+
+def test_second_day_appends_new_ids_only(spark, smoke_dir):
+    """Two days of pages give the tables that one full build gives."""
+    pages, typed, country = ad.raw_pages(spark, smoke_dir), ad.typed_postings(spark, smoke_dir), ad.country_dim(spark, smoke_dir)
+    late = F.get_json_object("results", "$.search_metadata.created_at") >= "2000-01-01"
+    two, one = tempfile.mkdtemp(prefix="hirelake-two-"), tempfile.mkdtemp(prefix="hirelake-one-")
+    build_all(spark, Inputs(pages.where(~F.coalesce(late, F.lit(False))), typed, country), two, ad.AS_OF)
+    before = spark.read.parquet(f"{two}/skills").count()
+    build_all(spark, Inputs(pages.where(F.coalesce(late, F.lit(False))), typed, country), two, ad.AS_OF)
+    build_all(spark, Inputs(pages, typed, country), one, ad.AS_OF)
+    skills = spark.read.parquet(f"{two}/skills")
+    assert before < skills.count() == skills.select("job_id").distinct().count()
+    for name in ("fact", "salary", "titles", "skills", "wide", "public"):
+        a, b = (spark.read.parquet(f"{d}/{name}") for d in (two, one))
+        assert a.count() == b.count(), name
+    assert spark.read.parquet(f"{two}/fact").exceptAll(spark.read.parquet(f"{one}/fact").select(
+        *spark.read.parquet(f"{two}/fact").columns)).count() == 0

@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("HIRELAKE_DRIVER_MEM", "8g"))
     )
     spark = builder.getOrCreate()
+    spark.conf.set("spark.hirelake.scanTasks", spark.sparkContext.defaultParallelism)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -39,7 +39,7 @@ def order_brands(spark: SparkSession, sf_dir: str, key: "Column | None" = None,
 
 def postings_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scale view of the wide table: one posting per order."""
-    orders = read_table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders", heavy=True)
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     title = F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED"))
     return (
@@ -136,7 +136,7 @@ def posting_columns() -> dict[str, "Column"]:
 
 
 def _orders_customers(spark, sf_dir) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders", heavy=True)
     customer = read_table(spark, sf_dir, "customer")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
             .join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
@@ -317,7 +317,7 @@ factf AS (
 # id, flagged by its labels.  Copies of a text in the same language share the
 # de-duplication key of the public table.
 def postings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents", heavy=True)
     events = read_table(spark, sf_dir, "events", ["event_id", "ts"])
     labels = read_table(spark, sf_dir, "labels")
     d = (docs.join(events, docs.doc_id == events.event_id, "left")

@@ -14,14 +14,23 @@ DRIVER_TABLES = (
 ).split()
 
 
+#: Set by the caller's session, never by the size of an input; unset on a cluster.
+SCAN_TASKS = "spark.hirelake.scanTasks"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
-    """Scan of an input table."""
+               columns: list[str] | None = None, *, heavy: bool = False) -> DataFrame:
+    """Scan of an input table.  ``heavy``: much work per row follows before any
+    shuffle; where the session names a number of tasks in SCAN_TASKS (inputs of
+    one row group, as in tests and the bench), the rows are dealt to them."""
     df = spark.read.parquet(table_path(sf_dir, name))
+    tasks = spark.conf.get(SCAN_TASKS, None) if heavy else None
+    if tasks:
+        df = df.repartition(int(tasks))
     return df.select(*columns) if columns else df
 
 

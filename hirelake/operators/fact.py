@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import true_or_null
 
+# FIXED VALUES (down to TYPED_RENAMES, and TYPED_ALLOW_LIST): page fields,
+# block titles, prefixes and column names of the posting schema.
 HIGHLIGHT_TITLES = {
     "job_highlights_qualifications": "Qualifications",
     "job_highlights_responsibilities": "Responsibilities",
@@ -32,14 +34,15 @@ FACT_COLUMNS = [
 ]
 
 # One posting of jobs_results, as read from the page (unknown keys ignored;
-# a field whose value does not cast becomes NULL on its own).
+# a field whose value does not cast becomes NULL on its own).  Scalar fields
+# stay VARIANT until ``scalar_text`` has seen whether they are scalars.
 JOB_SCHEMA = (
-    "struct<job_id string, title string, company_name string, location string, via string, "
-    "description string, thumbnail string, extensions array<string>, "
-    "detected_extensions struct<posted_at string, salary string, schedule_type string, "
-    "work_from_home boolean, commute_time string>, "
+    "struct<job_id variant, title variant, company_name variant, location variant, via variant, "
+    "description variant, thumbnail variant, extensions array<string>, "
+    "detected_extensions struct<posted_at variant, salary variant, schedule_type variant, "
+    "work_from_home boolean, commute_time variant>, "
     "job_highlights array<struct<title string, items array<string>>>, "
-    "related_links array<struct<link string, text string>>>"
+    "related_links array<struct<link variant, text variant>>>"
 )
 
 # Typed landing column -> fact column.
@@ -57,6 +60,26 @@ def _get(v: Column, path: str, typ: str = "string") -> Column:
     return F.try_variant_get(v, path, typ)
 
 
+def scalar_text(v: Column) -> Column:
+    """The text of a scalar, NULL for an object or array.  Only text that
+    could be one by its first character has its type looked up."""
+    text = _get(v, "$")
+    return (F.when(~text.startswith("{") & ~text.startswith("["), text)
+            .when(F.schema_of_variant(v) == "STRING", text))
+
+
+def serialise(*cols: str | Column) -> Column:
+    """A record as JSON text."""
+    return F.to_json(F.struct(*cols))
+
+
+def append_pages(first: DataFrame, *pages: DataFrame) -> DataFrame:
+    """U4: rows of pages whose columns differ; a column a page lacks is NULL."""
+    for page in pages:
+        first = first.unionByName(page, allowMissingColumns=True)
+    return first
+
+
 # ------------------------------------------------------------ P21 / P22
 def parse_zoned_time(s: str | Column) -> Column:
     """``2023-01-05 10:00:00 UTC`` -> TIMESTAMP_NTZ wall clock (zone label not
@@ -128,26 +151,26 @@ def json_postings(archive: DataFrame, *, results: str = "results") -> DataFrame:
     j = F.col("_j")
     ext = j["detected_extensions"]
     links, hl = j["related_links"], j["job_highlights"]
-    link0, link1 = F.get(links, 0)["link"], F.get(links, 1)["link"]
-    text0, text1 = F.get(links, 0)["text"], F.get(links, 1)["text"]
+    link0, link1 = (scalar_text(F.get(links, i)["link"]) for i in (0, 1))
+    text0, text1 = (scalar_text(F.get(links, i)["text"]) for i in (0, 1))
     cols = {
-        "job_id": j["job_id"],
-        "job_title": j["title"],
-        "company_name": j["company_name"],
-        "job_location": j["location"],
-        "job_via": j["via"],
-        "job_description": j["description"],
+        "job_id": scalar_text(j["job_id"]),
+        "job_title": scalar_text(j["title"]),
+        "company_name": scalar_text(j["company_name"]),
+        "job_location": scalar_text(j["location"]),
+        "job_via": scalar_text(j["via"]),
+        "job_description": scalar_text(j["description"]),
         **{name: _highlight(hl, title) for name, title in HIGHLIGHT_TITLES.items()},
-        "job_posted_at": ext["posted_at"],
-        "job_salary": ext["salary"],
-        "job_schedule_type": ext["schedule_type"],
+        "job_posted_at": scalar_text(ext["posted_at"]),
+        "job_salary": scalar_text(ext["salary"]),
+        "job_schedule_type": scalar_text(ext["schedule_type"]),
         "job_work_from_home": ext["work_from_home"],                                      # P7
-        "job_commute_time": ext["commute_time"],
+        "job_commute_time": scalar_text(ext["commute_time"]),
         "job_extensions": j["extensions"],                                                # P6
         "company_link": F.when(F.left(link0, F.lit(22)) != F.lit(GOOGLE_PREFIX), link0),   # P8
         "company_link_google": (F.when(F.left(text0, F.lit(7)) == F.lit(SEE_WEB), link0)   # P9
                                 .when(F.left(text1, F.lit(7)) == F.lit(SEE_WEB), link1)),
-        "company_thumbnail": j["thumbnail"],
+        "company_thumbnail": scalar_text(j["thumbnail"]),
         "error": F.col("error"),
         "search_term": F.col("search_term"),
         "search_location": F.col("search_location"),
@@ -214,4 +237,5 @@ def landing_rows(archive: DataFrame, *, load_time: Column | None = None,
     typed = rows.select("search_term", "search_location", "date_time",
                         F.try_variant_get("_job", "$", JOB_SCHEMA).alias("_j"))
     flat = flatten_struct(flatten_struct(typed, "_j"), "detected_extensions")
-    return allow_list(flat, TYPED_ALLOW_LIST)
+    kept = allow_list(flat, TYPED_ALLOW_LIST)
+    return kept.select(*[scalar_text(F.col(c)).alias(c) if t == "variant" else c for c, t in kept.dtypes])

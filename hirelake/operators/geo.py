@@ -46,14 +46,15 @@ def weighted_order(df: DataFrame, weight: str, *, seed: int, key: Sequence[str]
     """O3: weighted random permutation without replacement (Efraimidis-Spirakis:
     sort by -ln(U)/w ascending).
 
-    U in (0, 1] comes from a seeded 64-bit hash of the row's key columns
-    (default: every column but the weight), not from ``rand``: the draw of a
-    row does not depend on row order inside a partition, so it is the same
-    on every task retry and under any plan."""
+    U in (0, 1] comes from the first 13 digits of the MD5 of the seed and the
+    row's key columns (default: every column but the weight), not from
+    ``rand``: the draw of a row does not depend on row order inside a
+    partition, so it is the same on every task retry and under any plan.
+    Rows without weight come last."""
     key = [c for c in df.columns if c != weight] if key is None else list(key)
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
-    u = (F.pmod(h, F.lit(1 << 53)) + 1).cast("double") / float(1 << 53)
-    return (df.withColumn("_es_key", -F.log(u) / F.col(weight))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    u = (F.conv(F.left(digest, F.lit(13)), 16, 10).cast("bigint") + 1).cast("double") / float(1 << 52)
+    return (df.withColumn("_es_key", F.coalesce(F.try_divide(-F.log(u), F.col(weight)), F.lit(float("inf"))))
             .withColumn(out, F.row_number().over(Window.orderBy("_es_key", *key)))
             .drop("_es_key"))
 

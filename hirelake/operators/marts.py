@@ -2,7 +2,7 @@
 
 Each mart is one lazy plan.  Where the reference scans the wide table once
 per timeframe or per grain and glues the pieces with UNION ALL, the marts here
-use conditional aggregation or GROUPING SETS over one scan; totals are
+use conditional aggregation, or GROUPING SETS over counts of one scan; totals are
 uncorrelated scalar subqueries, several totals computed by one aggregate.  Keyword arrays are exploded before aggregation, and the
 aggregation is partial (map-side), so one very common skill never gathers
 its rows into one task.
@@ -87,43 +87,42 @@ def skill_pay_slicer(wide: DataFrame, *, salary: str = SALARY, **kw) -> DataFram
 
 
 # ------------------------------------------------------------- M4 - M7
+def _roll_up(counts: DataFrame, out: str, keys: list[str], title: str, country: str) -> DataFrame:
+    """Sums of ``_n`` at grains (title, country), (title) and (country) within ``keys``."""
+    return (counts.groupingSets([[*keys, title, country], [*keys, title], [*keys, country]], *keys, title, country)
+            .agg(F.sum("_n").alias(out), (F.grouping(title) * 2 + F.grouping(country)).alias("_g")))
+
+
+def _shares(counts: DataFrame, sizes: DataFrame, keys: list[str], title: str, country: str) -> DataFrame:
+    """Skill counts over grain sizes.  As in the reference's inner joins, a row
+    whose grain key is NULL is dropped from that grain."""
+    t, c, g = F.col(title), F.col(country), F.col("_g")
+    detail = (_roll_up(counts, "skill_count", [*keys, "skill"], title, country)
+              .where(((g == 0) & t.isNotNull() & c.isNotNull()) | ((g == 1) & t.isNotNull())
+                     | ((g == 2) & c.isNotNull())))
+    totals = (_roll_up(sizes, "total_jobs", keys, title, country)
+              .withColumnsRenamed({title: "_t", country: "_c", "_g": "_tg", **{k: f"_{k}" for k in keys}}))
+    same = (g == F.col("_tg")) & t.eqNullSafe(F.col("_t")) & c.eqNullSafe(F.col("_c"))
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    return (detail.join(totals, same)
+            .select(*keys, "skill", title, country,
+                    F.try_divide(F.col("skill_count"), F.col("total_jobs")).alias("skill_percent"),
+                    "skill_count", "total_jobs"))
+
+
 def skill_grains(wide: DataFrame, as_of=None, timeframe: str = ALL_TIME, *,
                  skills: str = SKILLS, job_id: str = JOB_ID, title: str = TITLE,
                  country: str = COUNTRY, ts: str = TS) -> DataFrame:
     """M4-M7: skill frequency at grains (title, country), (title), (country).
 
-    One GROUPING SETS aggregate for the counts and one for the denominators
-    replace three scans and three joins per timeframe.  As in the reference's
-    inner joins, a row whose grain key is NULL is dropped from that grain."""
+    Postings are counted once per (skill, title, country) and once per
+    (title, country); GROUPING SETS then roll up those counts, not postings."""
     base = timeframe_filter(wide, ts, timeframe, as_of)
-    exploded = base.select(job_id, title, country, F.explode(skills).alias("skill"))
-    detail = (exploded
-              .groupingSets([["skill", title, country], ["skill", title], ["skill", country]],
-                            "skill", title, country)
-              .agg(F.count(job_id).alias("skill_count"),
-                   (F.grouping(title) * 2 + F.grouping(country)).alias("_g")))
-    t, c, g = F.col(title), F.col(country), F.col("_g")
-    detail = detail.where(((g == 0) & t.isNotNull() & c.isNotNull())
-                          | ((g == 1) & t.isNotNull())
-                          | ((g == 2) & c.isNotNull()))
-    totals = (base.groupingSets([[title, country], [title], [country]], title, country)
-              .agg(_count_rows().alias("total_jobs"),
-                   (F.grouping(title) * 2 + F.grouping(country)).alias("_g"))
-              .withColumnsRenamed({title: "_t", country: "_c", "_g": "_tg"}))
-    joined = detail.join(
-        totals,
-        (detail["_g"] == totals["_tg"]) & t.eqNullSafe(F.col("_t")) & c.eqNullSafe(F.col("_c")))
-    return (joined.select("skill", title, country,
-                          F.try_divide(F.col("skill_count"), F.col("total_jobs")).alias("skill_percent"),
-                          "skill_count", "total_jobs")
-            .orderBy(F.desc("skill_count")))
-
-
-def _grain_rule(t: Column, c: Column, g: Column) -> Column:
-    """Keep a grain row only if its own keys are not NULL (inner-join rule)."""
-    return (((g == 0) & t.isNotNull() & c.isNotNull())
-            | ((g == 1) & t.isNotNull())
-            | ((g == 2) & c.isNotNull()))
+    counts = (base.select(job_id, title, country, F.explode(skills).alias("skill"))
+              .groupBy("skill", title, country).agg(F.count(job_id).alias("_n")))
+    sizes = base.groupBy(title, country).agg(_count_rows().alias("_n"))
+    return _shares(counts, sizes, [], title, country).orderBy(F.desc("skill_count"))
 
 
 def skill_grains_all_timeframes(wide: DataFrame, as_of, *, skills: str = SKILLS, job_id: str = JOB_ID,
@@ -137,7 +136,6 @@ def skill_grains_all_timeframes(wide: DataFrame, as_of, *, skills: str = SKILLS,
     (up to four) timeframes they belong to.  A timeframe bound is midnight,
     so ``ts >= bound`` equals ``to_date(ts) >= bound``."""
     day = F.to_date(ts)
-    t, c = F.col(title), F.col(country)
 
     def expand(df):
         tfs = F.array(*[F.when(in_timeframe("_day", n, as_of), F.lit(n)) for n in TIMEFRAME_NAMES])
@@ -145,22 +143,8 @@ def skill_grains_all_timeframes(wide: DataFrame, as_of, *, skills: str = SKILLS,
 
     per_day = (wide.select(job_id, title, country, day.alias("_day"), F.explode(skills).alias("skill"))
                .groupBy("skill", title, country, "_day").agg(F.count(job_id).alias("_n")))
-    detail = (expand(per_day)
-              .groupingSets([["timeframe", "skill", title, country], ["timeframe", "skill", title],
-                             ["timeframe", "skill", country]], "timeframe", "skill", title, country)
-              .agg(F.sum("_n").alias("skill_count"), (F.grouping(title) * 2 + F.grouping(country)).alias("_g")))
-    detail = detail.where(_grain_rule(t, c, F.col("_g")))
-    day_totals = wide.groupBy(title, country, day.alias("_day")).agg(_count_rows().alias("_n"))
-    totals = (expand(day_totals)
-              .groupingSets([["timeframe", title, country], ["timeframe", title], ["timeframe", country]],
-                            "timeframe", title, country)
-              .agg(F.sum("_n").alias("total_jobs"), (F.grouping(title) * 2 + F.grouping(country)).alias("_g"))
-              .withColumnsRenamed({"timeframe": "_tf", title: "_t", country: "_c", "_g": "_tg"}))
-    joined = detail.join(totals, (detail["timeframe"] == totals["_tf"]) & (detail["_g"] == totals["_tg"])
-                         & t.eqNullSafe(F.col("_t")) & c.eqNullSafe(F.col("_c")))
-    return (joined.select("timeframe", "skill", title, country,
-                          F.try_divide(F.col("skill_count"), F.col("total_jobs")).alias("skill_percent"),
-                          "skill_count", "total_jobs")
+    day_sizes = wide.groupBy(title, country, day.alias("_day")).agg(_count_rows().alias("_n"))
+    return (_shares(expand(per_day), expand(day_sizes), ["timeframe"], title, country)
             .orderBy("timeframe", F.desc("skill_count")))
 
 
@@ -170,28 +154,27 @@ def skill_trend(wide: DataFrame, *, top_n: int = 5, window_rows: int = 14,
     """M8: rolling share of the top skills, (date, skill, skill_percentage, total_jobs).
 
     The rolling frames count rows (days present), not calendar days: a skill
-    row exists only on days the skill occurs, totals on every day."""
+    row exists only on days the skill occurs, totals on every day.
+
+    Two scans: one explodes the skills and counts them per day, and a skill's
+    days (at most one entry a day) travel with its total to the top-n."""
     base = _where(wide, predicate)
-    # Two scans of the wide table in all: per (day, skill) counts feed both
-    # the top-n and the trend; per-day totals feed both the rolling total and
-    # the grand total.  Both aggregates are partial (map-side).
-    daily_all = (base.select(F.to_date(ts).alias("date"), F.explode(skills).alias("skill"))
-                 .groupBy("date", "skill").agg(_count_rows().alias("daily_skill_count")))
-    # O2: top-n with a tie-break by skill; the limit is a proven size bound.
-    top = (daily_all.groupBy("skill").agg(F.sum("daily_skill_count").alias("_n"))
-           .orderBy(F.desc("_n"), "skill").limit(top_n).select("skill"))
-    daily_skill = daily_all.join(F.broadcast(top), "skill", "left_semi")          # J6
+    daily = (base.select(F.to_date(ts).alias("date"), F.explode(skills).alias("skill"))
+             .groupBy("date", "skill").agg(_count_rows().alias("_n")))
+    # Top-n with a tie-break by skill; the limit is a proven size bound.
+    top = (daily.groupBy("skill").agg(F.sum("_n").alias("_total"), F.collect_list(F.struct("date", "_n")).alias("_days"))
+           .orderBy(F.desc("_total"), "skill").limit(top_n).where(F.col("skill").isNotNull()))
+    top_days = top.select("skill", F.inline("_days"))
     day_totals = base.groupBy(F.to_date(ts).alias("date")).agg(_count_rows().alias("_day_total"))
-    # One row per day: the unpartitioned window sees days, not postings.
-    frame = Window.orderBy("date").rowsBetween(-(window_rows - 1), 0)
-    rolling_total = day_totals.select("date", F.sum("_day_total").over(frame).alias("_rolling_total"))
+    # One row per day: the unpartitioned windows see days, not postings.
+    days = Window.orderBy("date")
+    rolling = day_totals.select("date", F.sum("_day_total").over(days.rowsBetween(-(window_rows - 1), 0)).alias("_rolling"),
+                                F.sum("_day_total").over(days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                                .cast("bigint").alias("total_jobs"))
     skill_frame = Window.partitionBy("skill").orderBy("date").rowsBetween(-(window_rows - 1), 0)
-    total_jobs = day_totals.agg(F.sum("_day_total").cast("bigint")).scalar()
-    return (daily_skill.join(rolling_total, "date")
-            .select("date", "skill",
-                    F.try_divide(F.sum("daily_skill_count").over(skill_frame),
-                                 F.col("_rolling_total")).alias("skill_percentage"),
-                    total_jobs.alias("total_jobs"))
+    return (top_days.join(rolling, "date")
+            .select("date", "skill", F.try_divide(F.sum("_n").over(skill_frame), F.col("_rolling")).alias("skill_percentage"),
+                    "total_jobs")
             .orderBy(F.desc("date"), F.desc("skill_percentage")))
 
 

@@ -72,36 +72,33 @@ def _find_phrases(joined: Column, phrases: Sequence[str]) -> Column:
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
-def tag_columns(tok: Column, categories: Mapping[str, Sequence[str]] | None = None,
-                all_column: str | None = ALL_COLUMN) -> dict[str, Column]:
-    """One array column per category (+ the union), distinct, empty -> NULL.
+def keyword_hits(tok: Column, keywords: Sequence[str]) -> Column:
+    """The distinct keywords of the tokens in order of first occurrence, a
+    keyword before a longer one that starts at the same token.
 
     Single-word keywords: a hash intersection with the tokens.  Multi-word
     keywords: found directly in the joined token string, so no n-gram
-    arrays are built at all."""
-    categories = SKILL_CATEGORIES if categories is None else categories
+    arrays are built at all.  Only a text with both is put in order, by
+    the place of each keyword it holds."""
+    single = [w for w in keywords if " " not in w]
+    phrases = sorted({w for w in keywords if " " in w})
+    hits = F.array_intersect(tok, _lower_list(single)) if single else F.array().cast("array<string>")
+    if not phrases:
+        return hits
     joined = F.array_join(tok, " ")
+    found = _find_phrases(joined, phrases)
+    padded = F.concat(F.lit(" "), joined, F.lit(" "))
+    placed = F.transform(F.array_distinct(F.concat(hits, found)), lambda k: F.struct(
+        F.position(F.concat(F.lit(" "), k, F.lit(" ")), padded).alias("place"), F.length(k).alias("length"), k.alias("k")))
+    return F.when(F.size(found) == 0, hits).otherwise(F.transform(F.array_sort(placed), lambda p: p["k"]))
+
+
+def _keyword_lists(categories: Mapping[str, Sequence[str]] | None, all_column: str | None) -> dict[str, list[str]]:
+    categories = SKILL_CATEGORIES if categories is None else categories
     lists = {name: [w.lower() for w in words] for name, words in categories.items()}
     if all_column:
         lists[all_column] = [w for words in lists.values() for w in words]
-    phrases = sorted({w for words in lists.values() for w in words if " " in w})
-    found = _find_phrases(joined, phrases) if phrases else None
-    # One pass over the tokens for every single-word keyword; the categories
-    # then split that short hit list (same elements, same order).
-    every_uni = [w for words in lists.values() for w in words if " " not in w]
-    hits = F.array_intersect(tok, _lower_list(every_uni)) if every_uni else None
-    cols = {}
-    for name, words in lists.items():
-        uni = [w for w in words if " " not in w]
-        multi = [w for w in words if " " in w]
-        parts = []
-        if uni:
-            parts.append(F.array_intersect(hits, _lower_list(uni)))
-        if multi:
-            parts.append(F.array_intersect(found, _lower_list(multi)))
-        arr = parts[0] if len(parts) == 1 else F.concat(*parts)
-        cols[name] = empty_to_null(arr)
-    return cols
+    return lists
 
 
 def tag_keywords(df: DataFrame, text: str, *, keep: Sequence[str] = (),
@@ -111,8 +108,12 @@ def tag_keywords(df: DataFrame, text: str, *, keep: Sequence[str] = (),
     text_col = F.lower(F.col(text)) if lower_text else F.col(text)
     staged = df.select(*keep, text_col.alias(text))
     staged = staged.select(*keep, text, tokens(text).alias("_tok"))
-    tags = tag_columns(F.col("_tok"), categories, all_column)
-    return staged.select(*keep, text, *[c.alias(n) for n, c in tags.items()])
+    lists = _keyword_lists(categories, all_column)
+    every = [w for words in lists.values() for w in words]
+    # One pass over the text; the categories split the short hit list, which keeps its order.
+    staged = staged.select(*keep, text, keyword_hits(F.col("_tok"), every).alias("_hits"))
+    return staged.select(*keep, text, *[empty_to_null(F.array_intersect("_hits", _lower_list(words))).alias(n)
+                                        for n, words in lists.items()])
 
 
 def skills_dimension(fact: DataFrame, *, key: str = "job_id", text: str = "job_description",

@@ -197,6 +197,11 @@ typed AS (
 # their metadata is incomplete.
 PAGE_SIZE = 10
 
+# Pages of these segments hold an object or an array where a scalar is due:
+# segment -> (field, its text, what the page holds instead).
+NESTED_FIELDS = {"MACHINERY": ("via", "via MACHINERY", '{"site":"MACHINERY"}'),
+                 "BUILDING": ("schedule_type", "Contractor", '["Contractor"]')}
+
 
 def _highlights() -> "Column":
     prio = F.col("o_orderpriority")
@@ -231,8 +236,9 @@ def _links() -> "Column":
             .when(prio == "5-LOW", F.array(w)))
 
 
-def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1/S8 shape: (search_term, search_location, result_offset, error, results)."""
+def raw_pages(spark: SparkSession, sf_dir: str, since: str | None = JSON_START) -> DataFrame:
+    """S1/S8 shape: (search_term, search_location, result_offset, error, results);
+    pages of the orders from ``since`` on, or of all."""
     pc = posting_columns()
     job = F.struct(
         *[pc[n].alias(n) for n in ["job_id", "title", "company_name", "location", "via",
@@ -243,8 +249,9 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _links().alias("related_links"),
     )
     posted = F.col("o_orderstatus").isin("F", "O")
-    src = _orders_customers(spark, sf_dir).where(
-        F.col("o_orderdate") >= F.lit(JSON_START).cast("timestamp_ntz"))
+    src = _orders_customers(spark, sf_dir)
+    if since is not None:
+        src = src.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
     pages = (src.groupBy("c_custkey", F.floor(F.col("o_orderkey") / PAGE_SIZE).alias("_page"),
                          "c_mktsegment", "n_name", "c_acctbal")
              .agg(F.min("o_orderdate").alias("_time"),
@@ -260,6 +267,9 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = F.when((F.size("_jobs") == 0) & (seg == "AUTOMOBILE"), F.lit(None)).otherwise(F.col("_jobs"))
     results = F.to_json(F.struct(meta.alias("search_metadata"), params.alias("search_parameters"),
                                  jobs.alias("jobs_results")))
+    for segment, (field, text, nested) in NESTED_FIELDS.items():
+        results = F.when(seg == segment, F.replace(results, F.lit(f'"{field}":"{text}"'), F.lit(f'"{field}":{nested}'))
+                         ).otherwise(results)
     return pages.select(seg.alias("search_term"), F.col("n_name").alias("search_location"),
                         F.lit(0).cast("bigint").alias("result_offset"),
                         (F.col("c_acctbal") < 0).alias("error"), results.alias("results"))
@@ -267,8 +277,13 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # DuckDB: the fact those pages and the typed rows should give, written
 # relationally (no JSON).
-FACT_SQL = "WITH " + TYPED_POSTINGS_SQL + f""",
-src AS (SELECT *, o_orderkey // {PAGE_SIZE} AS page FROM typed WHERE date_time >= TIMESTAMP '{JSON_START}'),
+def fact_sql(since: str | None = JSON_START) -> str:
+    landed = "true" if since is None else f"date_time >= TIMESTAMP '{since}'"
+    return "WITH " + TYPED_POSTINGS_SQL + f""",
+src AS (SELECT * REPLACE (CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE via END AS via,
+                          CASE WHEN c_mktsegment = 'BUILDING' AND schedule_type = 'Contractor' THEN NULL
+                               ELSE schedule_type END AS schedule_type),
+               o_orderkey // {PAGE_SIZE} AS page FROM typed WHERE {landed}),
 pages AS (
   SELECT c_custkey, page, c_mktsegment, n_name, c_acctbal,
          min(date_time) AS ptime, count(*) AS n_all,
@@ -312,6 +327,9 @@ factf AS (
   FROM fact)"""
 
 
+FACT_SQL = fact_sql()
+
+
 # --------------------------------------------------------------------------
 # Text postings: one posting per document, timed by the event with the same
 # id, flagged by its labels.  Copies of a text in the same language share the
@@ -354,6 +372,28 @@ pt AS (
 )"""
 
 
+# Texts that hold keywords of a dictionary: ``documents`` with keywords chosen by
+# doc_id before and after the text, next to punctuation.
+KEYWORD_STEPS = (1, 7, 31, 5)
+
+
+def keyword_documents(spark: SparkSession, sf_dir: str, keywords: list[str]) -> DataFrame:
+    words = F.array(*[F.lit(k) for k in keywords])
+    a, b, c, d = (F.element_at(words, (F.pmod(F.col("doc_id") * n + n, F.lit(len(keywords))) + 1).cast("int"))
+                  for n in KEYWORD_STEPS)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], heavy=True)
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.concat(a, F.lit(", "), b, F.lit(". "), text, F.lit(" ("), c, F.lit(") "), d, F.lit("!"),
+                                          ).alias("text"))
+
+
+def keyword_documents_sql(keywords: list[str]) -> str:
+    words = "[" + ", ".join(f"'{k}'" for k in keywords) + "]"
+    a, b, c, d = (f"words[(doc_id * {n} + {n}) % {len(keywords)} + 1]" for n in KEYWORD_STEPS)
+    return (f"(SELECT doc_id, {a} || ', ' || {b} || '. ' || coalesce(text, '') || ' (' || {c} || ') ' || {d} || '!' AS text "
+            f"FROM documents, (SELECT {words} AS words)) AS src")
+
+
 # Dimensions of the star join built from the driver tables.
 def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """search_location -> search_country; region 4 has no entry (unmatched)."""

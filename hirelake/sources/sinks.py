@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,10 @@ def stored(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """K7: sharded CSV export with a header, comma separated, overwrite."""
-    df.write.mode("overwrite").option("header", True).option("sep", ",").csv(path)
+    """K7: sharded CSV export with a header, comma separated, overwrite; a quote
+    is doubled, as ``read_csv`` expects, and values keep their outer spaces."""
+    (df.write.mode("overwrite").option("header", True).option("sep", ",").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, multi_line: bool = True) -> DataFrame:
@@ -64,10 +66,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, mult
             .option("escape", '"').csv(path))
 
 
-def audited(df: DataFrame, name: str = "load_audit") -> tuple[DataFrame, Observation]:
-    """K9: count rows while the write runs (no second pass)."""
+def audited(df: DataFrame, name: str = "load_audit", **splits: Column) -> tuple[DataFrame, Observation]:
+    """K9: count rows, and those that meet each of ``splits`` (failed searches,
+    unreadable pages), while the write runs (no second pass)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in splits.items()]), obs
 
 
 def report(df: DataFrame) -> dict:

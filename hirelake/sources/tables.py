@@ -34,7 +34,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def read_typed(spark: SparkSession, path: str, schema: T.StructType,
+# FIXED VALUES: the columns of the typed landing table.
+TYPED_LANDING_SCHEMA = (
+    "title string, company_name string, location string, via string, description string, "
+    "extensions array<string>, job_id string, thumbnail string, posted_at string, "
+    "schedule_type string, work_from_home boolean, salary string, search_term string, "
+    "date_time timestamp_ntz, search_location string, commute_time string"
+)
+
+
+def read_typed(spark: SparkSession, path: str, schema: T.StructType | str = TYPED_LANDING_SCHEMA,
                fmt: str = "parquet") -> DataFrame:
     """Scan with a fixed schema (no inference on large inputs)."""
     return spark.read.schema(schema).format(fmt).load(path)

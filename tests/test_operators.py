@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,33 @@ def _tags(spark, text):
     return skills.tag_keywords(df, "t", keep=["id"]).first().asDict()
 
 
+def test_tagger_keeps_the_order_of_first_occurrence(spark):
+    assert _tags(spark, "ruby on rails, then SQL, excel")["keywords_all"] == ["ruby", "ruby on rails", "sql", "excel"]
+    assert _tags(spark, "excel, power bi and sql; excel")["keywords_all"] == ["excel", "power bi", "sql"]
+    assert _tags(spark, "sql then Power BI")["keywords_all"] == ["sql", "power bi"]
+
+
+def test_tagger_takes_long_punctuation_runs_in_linear_time(spark):
+    df = spark.createDataFrame([(1, "sql")], "id int, t string")
+    long = df.select("id", F.concat("t", F.lit(" a"), F.repeat(F.lit("-"), F.lit(1_000_000)), F.lit("x power bi")).alias("t"))
+    skills.tag_keywords(df, "t", keep=["id"]).collect()
+    begun = time.perf_counter()
+    assert skills.tag_keywords(long, "t", keep=["id"]).first().keywords_all == ["sql", "power bi"]
+    assert time.perf_counter() - begun < 5
+
+
+def test_json_scalars_of_objects_and_arrays_are_null(spark):
+    page = ('{"search_metadata": {"id": "s", "created_at": "2023-01-05 10:00:00 UTC", "total_time_taken": 1}, '
+            '"search_parameters": {"hl": "en"}, "jobs_results": [{"job_id": "1", "title": {"a": 1}, "via": ["x"], '
+            '"location": "[remote]", "description": 5, "company_name": null, '
+            '"detected_extensions": {"salary": {"n": 1}, "posted_at": "{x"}}]}')
+    pages = spark.createDataFrame([("t", "l", 0, False, page)], "search_term string, search_location string, "
+                                  "result_offset bigint, error boolean, results string")
+    r = fact_ops.json_postings(fact_ops.archive_rows(pages)).first()
+    assert (r.job_id, r.job_title, r.job_via, r.job_location, r.job_description) == ("1", None, None, "[remote]", "5")
+    assert (r.company_name, r.job_salary, r.job_posted_at) == (None, None, "{x")
+
+
 def test_tagger_fixture_cases(spark):
     r = _tags(spark, "SQL, Python and SQL Server.")
     assert r["keywords_programming"] == ["sql", "python"]

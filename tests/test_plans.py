@@ -56,8 +56,54 @@ def test_build_all_end_to_end(spark, smoke_dir):
 
 
 def _executed(df):
+    """The final adaptive plan: of the very query execution that has run."""
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+    plan = run.executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
+
+
+def test_unexecuted_plan_is_not_taken_for_a_final_one(spark, smoke_dir):
+    df = marts.skill_grains(ad.postings_wide(spark, smoke_dir))
     df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_job_id_is_split_in_both_dimension_joins(spark):
+    """Half of all postings carry one job id: AQE splits it in both joins on job_id."""
+    from hirelake.operators import wide
+    names = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        n = 100_000
+        base = spark.range(0, n, 1, 4).select(
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("job_id"),
+            F.md5(F.col("id").cast("string")).alias("job_description"), F.lit("t").alias("job_title"),
+            F.lit("term").alias("search_term"), F.lit("place").alias("search_location"))
+        ids = base.select("job_id").distinct()
+        skills = ids.select("job_id", F.lit("d").alias("job_description"), F.array(F.lit("sql")).alias("keywords_all"))
+        pay = ids.select("job_id", F.lit(1.0).alias("salary_avg"))
+        country = spark.createDataFrame([("place", "country")], "search_location string, search_country string")
+        titles = spark.createDataFrame([("t", "title")], "job_title string, job_title_clean string")
+        plan = _executed(wide.build_wide(base, skills, country, pay, titles))
+        on_id = [line for line in plan.split("\n") if "SortMergeJoin(skew=true)" in line or ("skew=true" in line and "Join" in line)]
+        assert len([line for line in on_id if "job_id" in line or "_key" in line or "_id" in line]) >= 2, on_id
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_trend_reads_the_wide_table_twice_and_explodes_once(spark, smoke_dir, tmp_path):
+    ad.postings_wide(spark, smoke_dir).write.parquet(str(tmp_path / "w"))
+    plan = _executed(marts.skill_trend(spark.read.parquet(str(tmp_path / "w"))))
+    assert plan.count("FileScan") == 2
+    assert plan.count("Generate explode") == 1
 
 
 def test_dedup_combines_before_shuffle_under_skew(spark):
@@ -74,9 +120,16 @@ def test_dedup_combines_before_shuffle_under_skew(spark):
     assert out.count() == 20001
 
 
-def test_grains_use_expand_and_partial_counts(spark, smoke_dir):
-    plan = _executed(marts.skill_grains(ad.postings_wide(spark, smoke_dir)))
-    assert "Expand" in plan and "partial_count" in plan
+def test_grains_expand_counts_not_postings(spark, smoke_dir, tmp_path):
+    """Above every scan the postings are counted (and shuffled) before an Expand sees them."""
+    ad.postings_wide(spark, smoke_dir).write.parquet(str(tmp_path / "w"))
+    plan = _executed(marts.skill_grains(spark.read.parquet(str(tmp_path / "w"))))
+    lines = plan.split("\n")
+    expands = [i for i, line in enumerate(lines) if "Expand [" in line]
+    assert len(expands) == 2
+    for i in expands:
+        below = "\n".join(lines[i + 1:])
+        assert below.index("Exchange") < below.index("partial_count") < below.index("FileScan")
 
 
 def test_timeframe_marts_prune_month_partitions(spark, smoke_dir):

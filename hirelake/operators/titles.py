@@ -47,15 +47,13 @@ def _label_tokens(label: str) -> list[str]:
     return sorted({w for w in re.split("[^a-z0-9]+", label.lower()) if w})
 
 
-def overlap_label(title: Column, labels: Sequence[str] = TITLE_LABELS) -> Column:
-    """Best label by token overlap, earliest on ties, NULL when nothing overlaps."""
-    tok = title_tokens(title)
+def _best_label(tok: Column, labels: Sequence[str]) -> Column:
+    """(score, neg_pos, label) of the best label by token overlap, earliest on ties."""
     scored = [F.struct(F.size(F.array_intersect(tok, F.array(*[F.lit(w) for w in _label_tokens(lab)])))
                        .alias("score"),
                        F.lit(-i).alias("neg_pos"), F.lit(lab).alias("label"))
               for i, lab in enumerate(labels)]
-    best = F.greatest(*scored) if len(scored) > 1 else scored[0]
-    return F.when(best["score"] > 0, best["label"])
+    return F.greatest(*scored) if len(scored) > 1 else scored[0]
 
 
 def classify_titles(titles: DataFrame, title: str = "job_title", *,
@@ -67,7 +65,11 @@ def classify_titles(titles: DataFrame, title: str = "job_title", *,
     default overlap scorer; it runs in Arrow batches on the executors."""
     distinct = titles.select(F.col(title).alias("job_title")).where(F.col("job_title").isNotNull()).distinct()
     if scorer is None:
-        out = distinct.select("job_title", overlap_label(F.col("job_title"), labels).alias("job_title_clean"))
+        # Step by step, and by explode rather than a filter: a filter would be pushed
+        # below the steps and work them all out again.
+        best = (distinct.select("job_title", title_tokens(F.col("job_title")).alias("_tok"))
+                .select("job_title", _best_label(F.col("_tok"), labels).alias("_best")))
+        return best.select("job_title", F.explode(F.when(F.col("_best.score") > 0, F.array("_best.label"))).alias("job_title_clean"))
     else:
         labels = list(labels)
 

@@ -21,10 +21,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go (operator 10), and with them documents
-    that had long lines and have none left."""
+    that lost lines and have none left but blank ones."""
     new = {"text": F.col("cleaned_text"),
            "n_chars": F.when(F.col("n_dropped") > 0, F.length("cleaned_text").cast("long")).otherwise(F.col("n_chars"))}
-    kept = linededup.drop_recurring(docs).where(~F.col("emptied"))
+    kept = linededup.drop_recurring(docs).where((F.col("n_dropped") == 0) | F.col("cleaned_text").rlike(r"\S"))
     return kept.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 

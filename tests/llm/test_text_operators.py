@@ -223,3 +223,12 @@ def test_pipeline(spark, awkward):
     assert docs.count() > 0.5 * first.count()
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMOKE)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_keeps_documents_with_short_lines(spark):
+    shared = "all rights to this long line of boilerplate are shared by two"
+    verse = [f"line {chr(97 + i)} of verse" for i in range(20)]
+    rows = [(1, shared), (2, "\n".join([shared, *verse])), (3, shared + "\n \n\t"), (4, ""), (5, shared + "\nown words")]
+    docs = spark.createDataFrame([(*r, "en", "src0", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    assert kept == {1: shared, 2: "\n".join(verse), 4: "", 5: "own words"}

@@ -41,8 +41,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences (operator 1)."""
-    return pack.pack(docs)
+    """Pieces of the packed sequences (operator 1), along the curve within
+    windows of the mixture's slots."""
+    return pack.pack(docs, weights=mixing.shares(TARGETS, OTHERS))
 
 
 STAGES = [

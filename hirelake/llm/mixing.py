@@ -24,12 +24,13 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm import common
 
 OTHERS = "others"
+BLOCK, RESOLUTION, SEED = 1 << 16, 1000, 7
 
 
 def quotas(weights: dict[str, float], resolution: int) -> dict[str, int]:
@@ -85,33 +86,47 @@ def phases(weights: dict[str, float], blocks: dict[str, int], resolution: int) -
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str, float], others: float = 1.0, block: int = 1 << 16, resolution: int = 1000,
-        seed: int = 7) -> DataFrame:
-    """(row, class, block, slot, place): the documents' rows, each with its
-    source's class, block and slot, and its place (characters ahead of it in
-    the block).  Order by slot and place to read the mixture."""
-    spark = docs.sparkSession
-    scratch = common.Scratch(spark, "mixing")
-    weights = {**weights, OTHERS: others}
-    if min(weights.values()) <= 0:
-        raise ValueError("weights must be above 0, as every source is mixed in whole")
+def drawn(weights: dict[str, float], seed: int) -> list[Column]:
+    """class, draw and size of a document, from its source, doc_id and text."""
     named = [k for k in weights if k != OTHERS]
     size = F.greatest(F.coalesce(F.length("text"), F.lit(1)), F.lit(1)).cast("long")
-    rows = docs.select(F.struct("*").alias("row"),
-                       F.when(F.col("source").isin(named), F.col("source")).otherwise(OTHERS).alias("class"),
-                       F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"), "doc_id", size.alias("size"))
+    return [F.when(F.col("source").isin(named), F.col("source")).otherwise(OTHERS).alias("class"),
+            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("draw"), size.alias("size")]
+
+
+def place(scratch: common.Scratch, rows: DataFrame, weights: dict[str, float], block: int, resolution: int) -> DataFrame:
+    """Add block, slot and place to rows that have doc_id and the columns of
+    ``drawn``."""
     placed = common.prefix_sums(scratch, rows, ["draw", "doc_id"], "size", "placed", group="class")
     # one row for a class: as many as there are weights
     ends = placed.groupBy("class").agg(F.max(F.col("before")).alias("last")).collect()
     plan = phases(weights, {r["class"]: r["last"] // block + 1 for r in ends}, resolution)
     schema = "class string, first_block long, end_block long, first_slot long, size long, slots array<int>"
-    table = spark.createDataFrame(plan, schema).withColumnRenamed("class", "plan_class").withColumnRenamed("size", "period")
+    table = rows.sparkSession.createDataFrame(plan, schema).withColumnRenamed("class", "plan_class").withColumnRenamed("size", "period")
     number = F.floor(F.col("before") / block)
     nth = F.col("block") - F.col("first_block")
     return (placed.withColumn("block", number)
             .join(F.broadcast(table), (F.col("class") == F.col("plan_class")) & (F.col("block") >= F.col("first_block"))
                   & (F.col("block") < F.col("end_block")))
-            .select("row", "class", "block",
+            .select(*rows.columns, "block",
                     (F.col("first_slot") + F.floor(nth / F.size("slots")) * F.col("period")
                      + F.get("slots", (nth % F.size("slots")).cast("int"))).alias("slot"),
                     (F.col("before") - F.col("block") * block).alias("place")))
+
+
+def shares(weights: dict[str, float], others: float) -> dict[str, float]:
+    weights = {**weights, OTHERS: others}
+    if min(weights.values()) <= 0:
+        raise ValueError("weights must be above 0, as every source is mixed in whole")
+    return weights
+
+
+def mix(docs: DataFrame, weights: dict[str, float], others: float = 1.0, block: int = BLOCK, resolution: int = RESOLUTION,
+        seed: int = SEED) -> DataFrame:
+    """(row, class, block, slot, place): the documents' rows, each with its
+    source's class, block and slot, and its place (characters ahead of it in
+    the block).  Order by slot and place to read the mixture."""
+    weights = shares(weights, others)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", *drawn(weights, seed))
+    return (place(common.Scratch(docs.sparkSession, "mixing"), rows, weights, block, resolution)
+            .select("row", "class", "block", "slot", "place"))

@@ -5,7 +5,11 @@ the heavier), which a fixed random matrix projects to a few dimensions.  The
 Hilbert key of that point orders the documents; running totals of tokens along
 the order (range-partitioned, one total per part) place each document, and it
 is cut where a sequence is full.  So all sequences but the last are full, and
-neighbours on the curve share sequences.
+neighbours on the curve share sequences.  With target weights of sources the
+curve is followed within windows of consecutive slots of the mixture
+(``mixing``), one window after the other, so that the sequences in order keep
+to the target shares; the slots follow from the rows alone and are worked out
+on narrow ones.
 
 Nulls: a null text is empty (its end id alone); a null doc_id is a document
 like others.  Repeated rows are packed once each.  Ties on the curve go by
@@ -20,9 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm import common, encode
+from hirelake.llm import common, encode, mixing
 
 BUCKETS, DIMENSIONS, BITS, SEED = 256, 4, 12, 11
+DRAWN = "class string, draw long, size long"
 
 
 def hilbert_keys(grid: np.ndarray, bits: int) -> np.ndarray:
@@ -72,9 +77,11 @@ class Curve:
         return hilbert_keys(np.clip(cells, 0, (1 << self.bits) - 1).astype(np.uint64), self.bits).astype(np.int64)
 
 
-def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end: int, weights: dict[str, float] | None = None) -> DataFrame:
     """(row, doc_id, curve, n_tokens, ids): ids as little-endian 16-bit
-    integers, 32-bit ones where the vocabulary needs them."""
+    integers, 32-bit ones where the vocabulary needs them; with ``weights``
+    the columns of ``mixing.drawn`` too."""
+    extra = ["class", "draw", "size"] if weights else []
 
     def run(batches):
         encoder = encode.encoder(tokenizer)
@@ -88,21 +95,30 @@ def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
                 pa.array(np.arange(row, row + batch.num_rows)), batch.column("doc_id"),
                 pa.array(curve.keys(ids, offsets)), pa.array(np.diff(offsets)),
                 pa.array([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()),
-            ], names=["row", "doc_id", "curve", "n_tokens", "ids"])
+                *(batch.column(c) for c in extra),
+            ], names=["row", "doc_id", "curve", "n_tokens", "ids", *extra])
             row += batch.num_rows
 
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInArrow(run, "row long, doc_id long, curve long, n_tokens long, ids binary")
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *(mixing.drawn(weights, mixing.SEED) if weights else []))
+    return kept.mapInArrow(run, ", ".join(["row long, doc_id long, curve long, n_tokens long, ids binary", *([DRAWN] if weights else [])]))
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 4096, end: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 4096, end: int = 2,
+         weights: dict[str, float] | None = None, block: int = mixing.BLOCK, window: int = 100) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset
-    and ids (the piece's ids as little-endian unsigned 32-bit integers)."""
+    and ids (the piece's ids as little-endian unsigned 32-bit integers).  With
+    ``weights`` (of all classes, see ``mixing.shares``) the curve is followed
+    within each ``window`` slots of ``block`` characters."""
     tokenizer = tokenizer or encode.default_tokenizer()
     scratch = common.Scratch(docs.sparkSession, "pack")
-    rows = scratch.write(encoded(docs, tokenizer, end), "rows")
-    places = common.prefix_sums(scratch, rows.select("row", "doc_id", "curve", "n_tokens"),
-                                ["curve", "doc_id", "row"], "n_tokens", "places").select("row", "before")
+    rows = scratch.write(encoded(docs, tokenizer, end, weights), "rows")
+    narrow, order = rows.drop("ids"), ["curve", "doc_id", "row"]
+    if weights:
+        slots = mixing.place(scratch, narrow, weights, block, mixing.RESOLUTION)
+        narrow = slots.select("row", "doc_id", "curve", "n_tokens", F.floor(F.col("slot") / window).alias("window"))
+        order = ["window", *order]
+    places = common.prefix_sums(scratch, narrow, order, "n_tokens", "places").select("row", "before")
 
     names = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hirelake.llm import common, katz, licences, mixing, queries, toxicity
+from hirelake.llm import common, katz, licences, mixing, pack, queries, toxicity
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -232,3 +232,35 @@ def test_pipeline_keeps_documents_with_short_lines(spark):
     docs = spark.createDataFrame([(*r, "en", "src0", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
     assert kept == {1: shared, 2: "\n".join(verse), 4: "", 5: "own words"}
+
+
+def test_packed_sequences_follow_the_weights(spark, monkeypatch):
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choice("aeiklmnorst") for _ in range(6)) for _ in range(40)) for _ in range(400)]
+    rows = [(i, text, "en", f"src{i % 2}", 1) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def packed(weights, others):
+        return pack.pack(docs, length=64, weights=mixing.shares(weights, others), block=400, window=20)
+
+    def early(weights):
+        """The first source's share of tokens in the first windows' sequences."""
+        got = packed(weights, 1e-9).collect()
+        first = [r for r in got if r.sequence_id * 64 < 0.3 * sum(r.length for r in got)]
+        return sum(r.length for r in first if r.doc_id % 2 == 0) / sum(r.length for r in first)
+
+    assert early({"src0": 1.0, "src1": 3.0}) == pytest.approx(0.25, abs=0.08)
+    assert early({"src0": 3.0, "src1": 1.0}) == pytest.approx(0.75, abs=0.08)
+    pieces = packed({"src0": 1.0}, 1.0).collect()
+    assert sum(r.length for r in pieces) == sum({r.doc_id: r.doc_tokens for r in pieces}.values())
+    assert sorted(r.sequence_id * 64 + r.offset for r in pieces) == sorted(
+        sum(r.length for r in pieces if (r.sequence_id, r.offset) < (s.sequence_id, s.offset)) for s in pieces)
+
+    def shift(weights):
+        monkeypatch.setattr(corpus_pipeline, "TARGETS", weights)
+        monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+        monkeypatch.setattr(common, "table", lambda *_: docs)
+        monkeypatch.setattr(pack.pack, "__defaults__", (None, 64, 2, None, 400, 20))
+        return {(r.doc_id, r.start, r.sequence_id, r.offset) for r in corpus_pipeline.run(spark, "").collect()}
+
+    assert shift({"src0": 1.0, "src1": 3.0}) != shift({"src0": 3.0, "src1": 1.0})

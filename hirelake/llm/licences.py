@@ -58,8 +58,7 @@ RESTRICTIVENESS = {
 }
 UNKNOWN_LICENCE = 0.5
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
-_EXPRESSION = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[^0-9a-z\n(\x80-\U0010ffff]*"
-                         r"([^\n]*)")
+_WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 _TOKEN = re.compile(r"[()]|[0-9a-z][0-9a-z.+-]*")
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -151,6 +150,15 @@ def places(words: str) -> list[tuple[str, int]]:
     return out
 
 
+def expressions(text: str, tags: list[int]) -> list[str]:
+    """What follows each tag (its first word's number) in a lower-case text, up
+    to the next tag or the line's end."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    ends = [*(spans[t][0] for t in tags[1:]), len(text)]
+    width = TAG.count(" ")
+    return [text[spans[t + width][1]:end].partition("\n")[0] for t, end in zip(tags, ends, strict=True)]
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, and found: every place as (phrase, label, base, word,
     restrictiveness), tags among them by the ids that their expressions name."""
@@ -171,8 +179,8 @@ def scan(docs: DataFrame) -> DataFrame:
                     if phrase in NOTICES:
                         here.append((phrase, NOTICES[phrase], False, word, restrictiveness(NOTICES[phrase])))
                 tags = [w for p, w in places(f" {words} ") if p == TAG] if TAG in words else []
-                for word, match in zip(tags, _EXPRESSION.finditer(low[i].as_py()) if tags else (), strict=False):
-                    names, value = evaluate(expression_tokens(match[1]))
+                for word, text in zip(tags, expressions(low[i].as_py(), tags) if tags else (), strict=True):
+                    names, value = evaluate(expression_tokens(text))
                     here += [(TAG, name, False, word, value) for name in sorted(names)]
                 found.append([dict(zip(("phrase", "label", "base", "word", "restrictiveness"), x, strict=True)) for x in here])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pc.cast(n_words, pa.int64()), pa.array(found, kind)],

@@ -109,6 +109,16 @@ def test_licences_equal_brute_force(spark, awkward, clashing, nothing):
     assert licences.summary(licences.scan(nothing)).collect() == []
 
 
+def test_each_licence_tag_has_its_own_expression(spark):
+    texts = ["SPDX-License-Identifier: MIT */ text /* SPDX-License-Identifier: GPL-3.0-only", "xSPDX-License-Identifier: agpl-3.0\nSPDX-License-Identifier: (MIT)",
+             "SPDX-License-Identifier:\nmit", "SPDX license\nidentifier SPDX-License-Identifier: MIT or SPDX-License-Identifier: isc é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(x.label, x.word, x.restrictiveness) for x in r.found] for r in licences.scan(docs).collect()}
+    r = licences.restrictiveness
+    assert got == {0: [("mit", 0, r("mit")), ("gpl-3.0-only", 5, r("gpl-3.0-only"))], 1: [("mit", 6, r("mit"))], 2: [],
+                   3: [("mit", 3, r("mit")), ("isc", 8, r("isc"))]}
+
+
 def test_shunting_yard():
     def value(text):
         return licences.evaluate(licences.expression_tokens(text))[1]

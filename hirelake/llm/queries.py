@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import common, forest, idstore, jaccard, katz, licences, linededup, mixing, nndescent, pack, toxicity
+from hirelake.llm import (common, forest, hardneg, idstore, jaccard, katz, licences, linededup, mixing, nndescent, pack, toxicity,
+                          turns)
 
 #: Target shares of sources; all others share one.
 TARGETS, OTHERS = {"src0": 25.0, "src1": 15.0, "src2": 10.0, "src3": 5.0}, 45.0
@@ -67,6 +68,16 @@ def op10_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", "emptied", "cleaned_text")
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = common.table(spark, sf_dir, "conversations")
+    return turns.report(conversations, turns.damage(conversations))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hardneg.relabelled(common.table(spark, sf_dir, "embeddings"))
+    return hardneg.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_pfair_mixing": op2_pfair_mixing,
@@ -78,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_katz_backoff": op9_katz_backoff,
     "op10_template_line_dedup": op10_template_line_dedup,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {

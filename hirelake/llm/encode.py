@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file.
 
-The tokenizer's pre-tokens never hold white space, so the ids of a text are
-those of its white-space separated words in turn.  A task encodes each distinct
-word once with the tokenizers library and remembers it.
+Where the tokenizer's pre-tokens never hold white space (those of WORD_RULES),
+the ids of a text are those of its white-space separated words in turn: a task
+encodes each distinct word once with the tokenizers library and remembers it.
+With any other tokenizer file the library encodes each text whole.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import functools
 import itertools
 import json
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,38 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# FIXED VALUES: the normaliser and pre-tokenizer whose pre-tokens are parts of words.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
+def parting(tokenizer) -> str:
+    """The pattern of a letter, a mark and white space where the tokenizer parts
+    letter and mark.  Letters that its normaliser turns into one with a
+    combining mark at the end are left out, as the mark goes with the
+    punctuation there; so are those from U+3000 on, whose scripts hardly part
+    words (their words are encoded with the mark, which is always right)."""
+    good = []
+    for c in range(0x3000):
+        if unicodedata.category(chr(c))[0] == "L":
+            text = tokenizer.normalizer.normalize_str(chr(c) + ",")
+            if tokenizer.pre_tokenizer.pre_tokenize_str(text)[-1][0] == ",":
+                good.append(c)
+    ranges = []
+    for c in good:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    letters = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    return rf"([{letters}])([,.;:!?])(\s)"
+
+
 class Encoder:
     """Encodes Arrow arrays of texts.  ``remembered``: words held at most;
     beyond, the memory starts anew (results stay the same)."""
@@ -35,8 +69,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        self.ends = np.zeros(max(self.tokenizer.get_vocab_size(), max(vocabulary.values()) + 1), bool)
+            rules = json.load(f)
+        vocabulary = rules["model"]["vocab"]
+        added = [t for t in rules["added_tokens"] if any(c.isspace() for c in t["content"]) or t["lstrip"] or t["rstrip"]]
+        self.by_words = not added and all(rules.get(k) == v for k, v in WORD_RULES.items()) and isinstance(vocabulary, dict)
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        if not self.by_words:
+            return
+        self.parting = parting(self.tokenizer)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.remembered = remembered
         self.reset()
@@ -81,10 +121,13 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, text offsets)."""
+        if not self.by_words:
+            ids, ends = self._each(texts.to_pylist())
+            return ids.astype(np.uint32), np.concatenate([[0], ends]).astype(np.int64)
         # text that may name a special token stays as it is; in all other the
         # tokenizer would lower-case A-Z and part a mark from a word anyway
         special = pc.match_substring(texts, "<|")
-        plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([,.;:!?])(\s)", r"\1 \2\3")
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), self.parting, r"\1 \2\3")
         distinct, index, offsets = words.split(pc.if_else(special, texts, plain))
         if len(self.rows) + len(distinct) > self.remembered:
             self.reset()

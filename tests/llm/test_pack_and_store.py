@@ -1,4 +1,6 @@
 import functools
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -36,6 +38,45 @@ def test_encoder_equals_the_library(smoke_docs, awkward):
                 assert ids[offsets[i]:offsets[i + 1]].tolist() == library_ids(text, 0)[:-1]
 
 
+def differing(encoder, library, texts):
+    ids, offsets = encoder.encode(pa.array(texts, pa.string()))
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    return [t for i, t in enumerate(texts) if ids[offsets[i]:offsets[i + 1]].tolist() != want[i].ids]
+
+
+def test_every_letter_before_every_mark(smoke_docs):
+    """Letters whose normal form ends in a combining mark (Hindi, Bengali,
+    Punjabi, Hebrew, Turkish) keep the punctuation behind them."""
+    letters = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c))[0] == "L"]
+    encoder = encode.Encoder(encode.default_tokenizer(), 2_000_000)
+    low = [f"a{c}{m}{w}b" for c in letters if ord(c) < 0x3000 for m in ",.;:!?" for w in " \n"]
+    high = [f"a{c}{',.;:!?'[k % 6]} b" for k, c in enumerate(letters) if ord(c) >= 0x3000]
+    some = ["पढ़, बड़ा. साढ़े!", "আষাঢ়, বাড়ি; হয়.", "ਸ਼, ਖ਼. ਲ਼!", "שׁ, בּ. פּ? וּ!", "İ, İİ. aİ? İstanbul, İ."]
+    for texts in (some, low, high):
+        assert differing(encoder, tokenizer(), texts) == []
+
+
+def test_random_texts_of_marks_and_letters():
+    draw = random.Random(4)
+    parts = list("ab,.;:!?' \n\t\u00a0\u0130\u095c\u09df\ufb2a\u0301\u1100\u1161é😀1") + ["'s", "<|", "<|endoftext|>", "\u2028"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(20_000)]
+    assert differing(encode.Encoder(encode.default_tokenizer()), tokenizer(), texts) == []
+
+
+def test_another_tokenizer_file(smoke_docs, awkward):
+    """A tokenizer with other rules: each text whole, by the library."""
+    from tokenizers import Tokenizer
+
+    path = encode.default_tokenizer().replace("word_bpe_49k", "byte_bpe_50k")
+    encoder = encode.Encoder(path)
+    assert not encoder.by_words
+    texts = [r.text or "" for r in smoke_docs.unionByName(awkward).select("text").collect()]
+    assert differing(encoder, Tokenizer.from_file(path), texts) == []
+    row = pack.pack(awkward.where("doc_id = 50"), tokenizer=path).first()
+    assert np.frombuffer(row.ids, "<u4").tolist() == Tokenizer.from_file(path).encode(
+        awkward.where("doc_id = 50").first().text, add_special_tokens=False).ids + [2]
+
+
 @pytest.mark.parametrize("dimensions,bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_steps_to_neighbours(dimensions, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions, indexing="ij"), -1).reshape(-1, dimensions)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import (common, forest, hardneg, idstore, jaccard, katz, licences, linededup, mixing, nndescent, pack, toxicity,
-                          turns)
+from hirelake.llm import (common, forest, hardneg, idstore, jaccard, katz, licences, linededup, mixing, nndescent, pack, pii,
+                          toxicity, turns)
 
 #: Target shares of sources; all others share one.
 TARGETS, OTHERS = {"src0": 25.0, "src1": 15.0, "src2": 10.0, "src3": 5.0}, 45.0
@@ -68,6 +68,10 @@ def op10_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", "emptied", "cleaned_text")
 
 
+def op11_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(common.table(spark, sf_dir, "documents")))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = common.table(spark, sf_dir, "conversations")
     return turns.report(conversations, turns.damage(conversations))
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_katz_backoff": op9_katz_backoff,
     "op10_template_line_dedup": op10_template_line_dedup,
+    "op11_boosted_pii": op11_boosted_pii,
     "op12_turn_repair": op12_turn_repair,
     "op13_hard_negatives": op13_hard_negatives,
 }

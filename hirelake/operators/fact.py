@@ -33,6 +33,11 @@ FACT_COLUMNS = [
     "search_term", "search_location", "search_time", "search_id",
 ]
 
+#: Types of the fact's columns that are not text.
+FACT_TYPES = {"job_highlights_qualifications": "array<string>", "job_highlights_responsibilities": "array<string>",
+              "job_highlights_benefits": "array<string>", "job_extensions": "array<string>", "job_work_from_home": "boolean",
+              "error": "boolean", "search_time": "timestamp_ntz"}
+
 # One posting of jobs_results, as read from the page (unknown keys ignored;
 # a field whose value does not cast becomes NULL on its own).  Scalar fields
 # stay VARIANT until ``scalar_text`` has seen whether they are scalars.
@@ -128,6 +133,15 @@ def archive_rows(pages: DataFrame, *, results: str = "results") -> DataFrame:
                          *[c.alias(n) for n, c in meta.items()], results)
 
 
+def page_key(archive: DataFrame, *, results: str = "results") -> Column:
+    """What makes an archived page the same page when it is landed again: its
+    search and offset, or, where the page tells no search, all that it holds."""
+    held = F.sha2(F.to_json(F.struct("search_term", "search_location", "result_offset", "error",
+                                     F.to_json(F.col(results)).alias("page"))), 256)
+    known = F.concat(F.lit("search:"), F.to_json(F.struct("search_id", "result_offset")))
+    return F.when(F.col("search_id").isNotNull(), known).otherwise(F.concat(F.lit("page:"), held))
+
+
 # -------------------------------------------------------- P3 - P9, J2
 def _highlight(highlights: Column, title: str) -> Column:
     """P5: items of the first of blocks 0..2 whose title matches, else NULL."""
@@ -186,7 +200,11 @@ def pre_cutoff(typed: DataFrame, archive: DataFrame, *, ts: str = "date_time") -
 
     The cut-off is an uncorrelated scalar subquery: one partial aggregate over
     the archive's time column."""
-    cutoff = archive.agg(F.min("search_time")).scalar()
+    return typed_rows(typed, archive.agg(F.min("search_time")).scalar(), ts=ts)
+
+
+def typed_rows(typed: DataFrame, cutoff: Column, *, ts: str = "date_time") -> DataFrame:
+    """Typed rows older than ``cutoff``, renamed."""
     return (typed.where(F.col(ts) < cutoff)
             .select(*[F.col(src).alias(dst) for src, dst in TYPED_RENAMES.items()]))
 
@@ -195,10 +213,15 @@ def pre_cutoff(typed: DataFrame, archive: DataFrame, *, ts: str = "date_time") -
 def build_fact(archive: DataFrame, typed: DataFrame) -> DataFrame:
     """JSON postings UNION ALL older typed rows, plus the two TRUE/NULL flags."""
     older = pre_cutoff(typed, archive)
-    both = json_postings(archive).unionByName(older, allowMissingColumns=True)   # U1 + P11
+    return with_flags(json_postings(archive).unionByName(older, allowMissingColumns=True))   # U1 + P11
+
+
+def with_flags(rows: DataFrame) -> DataFrame:
+    """P10: the fact's columns (those that ``rows`` lacks are NULL) and the two
+    TRUE/NULL flags."""
     ext = F.col("job_extensions")
-    return both.select(
-        *FACT_COLUMNS,
+    return rows.select(
+        *[F.col(c) if c in rows.columns else F.lit(None).cast(FACT_TYPES.get(c, "string")).alias(c) for c in FACT_COLUMNS],
         true_or_null(F.array_contains(ext, F.lit("No degree mentioned"))).alias("job_no_degree_mention"),
         true_or_null(F.array_contains(ext, F.lit("Health insurance"))).alias("job_health_insurance"),
     )

@@ -1,6 +1,6 @@
 """End-to-end daily build (entry point B of the reference) as one Spark job set.
 
-pages -> archive (appended) -> fact -> salary / skills / titles dimensions ->
+pages -> archive and landing (batches) -> fact -> salary / skills / titles dimensions ->
 wide -> marts, public table.  Every table is written and read back, so pages
 are parsed once and a description is tagged once: on later days only job ids
 and titles that the stored skills and titles lack are enriched and appended.
@@ -9,6 +9,7 @@ Writing also cuts the lineage, so a lost executor re-runs at most one stage.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..functions.columns import ALL_TIME, LAST_7, LAST_30, MONTH_COL, YTD, month
 from ..operators import fact as fact_ops
 from ..operators import marts, public, salary, skills, titles, wide
 from ..sources import sinks
+from ..sources.batches import BatchTable
 
 
 @dataclass
@@ -29,16 +31,34 @@ class Inputs:
     skill_dim: DataFrame | None = None   # existing skills dimension (appended to)
 
 
+def archive_batch(archive: BatchTable, landing: BatchTable, batch: str, pages: DataFrame) -> None:
+    """K2 and K3, repeatable: pages that the archive lacks, by their key, and
+    the typed rows of the pages that the batch added."""
+    rows = fact_ops.archive_rows(pages)
+    rows = rows.withColumns({"page_key": fact_ops.page_key(rows), MONTH_COL: month_of("search_time")})
+    archive.append(batch, rows, key="page_key", order=F.sha2(F.to_json(F.col("results")), 256))
+    added = archive.read([batch])
+    if added is not None and not landing.has(batch):
+        typed = fact_ops.landing_rows(added)
+        landing.append(batch, typed.withColumn(MONTH_COL, month_of("date_time")))
+
+
 def build_all(spark: SparkSession, inputs: Inputs, out: str, as_of, *,
-              title_labels=None) -> dict[str, DataFrame]:
+              title_labels=None, batch: str | None = None) -> dict[str, DataFrame]:
     """Add the landed pages to the archive, rebuild the tables under ``out``
-    and return the marts (lazy)."""
+    and return the marts (lazy).
+
+    A build may be run again, also after it was killed: pages that the archive
+    has are not added twice, and a ``batch`` (its name) that is loaded not at
+    all; all other tables are rebuilt or get the keys that they lack."""
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
 
-    sinks.append_rows(fact_ops.archive_rows(inputs.pages), f"{out}/archive")     # K2
-    fact = fact_ops.build_fact(table("archive"), inputs.typed)
+    archive = BatchTable(spark, f"{out}/archive", [MONTH_COL])
+    archive_batch(archive, BatchTable(spark, f"{out}/landing", [MONTH_COL]),
+                  batch or f"load-{uuid.uuid4().hex}", inputs.pages)             # K2, K3
+    fact = fact_ops.build_fact(archive.read(), inputs.typed)
     # Stored by search month: timeframe marts prune old partitions at the scan.
     sinks.write_table(fact.withColumn(MONTH_COL, month_of("search_time")), f"{out}/fact",
                       partition_by=[MONTH_COL])                                  # K1

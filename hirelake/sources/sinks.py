@@ -73,6 +73,39 @@ def audited(df: DataFrame, name: str = "load_audit", **splits: Column) -> tuple[
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in splits.items()]), obs
 
 
+OUTCOME, REASON = "outcome", "reason"
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def routed(df: DataFrame, path: str, reasons: dict[str, Column], *, fmt: str = "parquet") -> dict[str, int]:
+    """K9: one write that parts rows into accepted and rejected ones.
+
+    ``reasons``: name -> condition, in order; the first that holds is a rejected
+    row's ``reason`` (a condition that is NULL does not hold).  Rows stay whole,
+    also what could not be read (the corrupt-record column of a reader).  Each
+    side is read by its partition, so accepted rows never scan rejected ones.
+    Gives the counts of what was written, read from the outcomes and reasons
+    alone: rows, accepted, rejected, and ``reason <name>`` for each."""
+    reason = F.lit(None).cast("string")
+    for name, holds in reversed(list(reasons.items())):
+        reason = F.when(holds, F.lit(name)).otherwise(reason)
+    rows = df.withColumn(REASON, reason)
+    rows = rows.withColumn(OUTCOME, F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED))
+    rows.write.mode("overwrite").format(fmt).partitionBy(OUTCOME).save(path)
+    stored = df.sparkSession.read.schema(f"{REASON} string, {OUTCOME} string").format(fmt).load(path)
+    by = {r[REASON]: r["n"] for r in stored.groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per reason
+    bad = {f"reason {name}": by.get(name, 0) for name in reasons}
+    return {"rows": sum(by.values()), ACCEPTED: by.get(None, 0), REJECTED: sum(bad.values()), **bad}
+
+
+def read_routed(spark: SparkSession, path: str, outcome: str, schema: T.StructType | str, *, fmt: str = "parquet") -> DataFrame:
+    """One side of a routed load; a side without rows is an empty table.
+    ``schema``: that of the rows routed."""
+    whole = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*whole.fields, T.StructField(REASON, T.StringType()), T.StructField(OUTCOME, T.StringType())])
+    return spark.read.schema(whole).format(fmt).load(path).where(F.col(OUTCOME) == outcome).drop(OUTCOME)
+
+
 def report(df: DataFrame) -> dict:
     """Row count and schema of a result (an action; for job logs)."""
     return {"rows": df.count(), "schema": df.schema.simpleString()}

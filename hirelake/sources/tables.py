@@ -53,9 +53,15 @@ PAGE_SCHEMA = ("search_term string, search_location string, result_offset bigint
                "error boolean, results string")
 
 
-def read_pages(spark: SparkSession, path: str, *, fmt: str = "json") -> DataFrame:
-    """S1/K2 batch side: landed raw pages (one JSON object per line), fixed schema."""
-    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
+#: Where a reader puts a line that it can't read.
+CORRUPT = "_corrupt_record"
+
+
+def read_pages(spark: SparkSession, path: str, *, fmt: str = "json", corrupt: bool = False) -> DataFrame:
+    """S1/K2 batch side: landed raw pages (one JSON object per line), fixed
+    schema.  ``corrupt``: with a column that holds a line which is no such object."""
+    schema = f"{PAGE_SCHEMA}, {CORRUPT} string" if corrupt else PAGE_SCHEMA
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).format(fmt).load(path)
 
 
 def read_where(df: DataFrame, columns: list[str], predicate: Column) -> DataFrame:

@@ -1,18 +1,20 @@
 """Search planning: T5 country weights, O3 weighted order, O4 search plan,
 W5 budget cut-off.
 
-These work on per-country tables (a few hundred rows at most: one row per
-country or per country and term), so the running-sum window over them is
-bounded by the number of countries, never by the data volume.
+These mostly work on per-country tables, but O3 and W5 put no bound on their
+input: places and running sums come from range partitions and the totals of the
+partitions ahead, so no window sees the whole table in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import number_rows, sum_before
+
 # FIXED VALUES: the reference's search terms.
 SEARCH_TERMS = ["Data Analyst", "Data Scientist", "Data Engineer"]
 
@@ -54,9 +56,8 @@ def weighted_order(df: DataFrame, weight: str, *, seed: int, key: Sequence[str]
     key = [c for c in df.columns if c != weight] if key is None else list(key)
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
     u = (F.conv(F.left(digest, F.lit(13)), 16, 10).cast("bigint") + 1).cast("double") / float(1 << 52)
-    return (df.withColumn("_es_key", F.coalesce(F.try_divide(-F.log(u), F.col(weight)), F.lit(float("inf"))))
-            .withColumn(out, F.row_number().over(Window.orderBy("_es_key", *key)))
-            .drop("_es_key"))
+    drawn = df.withColumn("_es_key", F.coalesce(F.try_divide(-F.log(u), F.col(weight)), F.lit(float("inf"))))
+    return number_rows(drawn, ["_es_key", *key], out).drop("_es_key")
 
 
 def search_plan(locations: DataFrame, location: str, terms: Sequence[str] = SEARCH_TERMS,
@@ -68,7 +69,7 @@ def search_plan(locations: DataFrame, location: str, terms: Sequence[str] = SEAR
 
 def budget_cutoff(items: DataFrame, order: str | Column, cost: str, limit: int,
                   *, start: int = 0, out: str = "spent_before") -> DataFrame:
-    """Keep items while the amount spent before the item is below the limit."""
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.lit(start) + F.coalesce(F.sum(cost).over(before), F.lit(0))
-    return items.withColumn(out, spent).where(F.col(out) < limit)
+    """Keep items while the amount spent before the item is below the limit
+    (items of one place in ``order``: by their other columns)."""
+    spent = sum_before(items, [order, *(c for c in items.columns if c != order)], cost, out)
+    return spent.withColumn(out, F.lit(start) + F.col(out)).where(F.col(out) < limit)

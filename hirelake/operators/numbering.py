@@ -12,7 +12,7 @@ executors are lost and tasks re-run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -47,3 +47,39 @@ def number_by_key(df: DataFrame, key: str, out: str = "row_number", *,
     offsets = counts.select("_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_part")
             .select(key, (F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(out)))
+
+
+def _parts(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    """``df`` with _part and _pos: its range partition in ``order`` and its place
+    there (checkpointed: both stay the same if tasks are run again)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .withColumns({"_part": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
+            .drop("_mid").checkpoint(eager=True))
+
+
+def _with_offsets(tagged: DataFrame, total: Column) -> DataFrame:
+    """``_off``: the totals of the partitions ahead (one row for a partition)."""
+    sums = tagged.groupBy("_part").agg(total.alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    return tagged.join(F.broadcast(offsets), "_part")
+
+
+def number_rows(df: DataFrame, order: list, out: str = "row_number", *, partitions: int | None = None) -> DataFrame:
+    """1-based place of every row in ``order``, without a single-partition window."""
+    tagged = _with_offsets(_parts(df, order, partitions), F.count(F.lit(1)))
+    return tagged.withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("int")).drop("_part", "_pos", "_off")
+
+
+def sum_before(df: DataFrame, order: list, value: str, out: str, *, partitions: int | None = None) -> DataFrame:
+    """Sum of ``value`` over the rows ahead in ``order``: running sums within
+    range partitions (each no larger than a task's share), plus the totals of
+    the partitions ahead."""
+    tagged = _with_offsets(_parts(df, order, partitions), F.sum(value))
+    ahead = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn(out, F.coalesce("_off", F.lit(0)) + F.coalesce(F.sum(value).over(ahead), F.lit(0)))
+            .drop("_part", "_pos", "_off"))

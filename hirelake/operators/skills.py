@@ -116,6 +116,41 @@ def tag_keywords(df: DataFrame, text: str, *, keep: Sequence[str] = (),
                                         for n, words in lists.items()])
 
 
+def tag_by_table(df: DataFrame, text: str, dictionary: DataFrame, *, key: str, max_words: int = 3) -> DataFrame:
+    """T1 with the dictionary as a table (category, keyword) of any size:
+    (key, category, keyword, place), ``place`` being the token that the keyword
+    first stands at (from 1).
+
+    Texts are cut into tokens as in ``tag_keywords``; each token starts up to
+    ``max_words`` runs of words, which meet the dictionary in a hash join on the
+    run.  Keywords of more words are left out and ``dictionary_lengths`` tells
+    how many there are.  Runs that no keyword begins with go before they are
+    multiplied: a token must be some keyword's first word.  Nothing is
+    broadcast by hand: Spark broadcasts a dictionary that it measures small, and
+    shuffles a larger one; a run that a third of all texts hold meets one row a
+    category, which the skew split divides."""
+    known = (dictionary.select("category", F.lower("keyword").alias("keyword")).where(F.col("keyword") != "").distinct()
+             .withColumn("_words", F.split("keyword", " ")).where(F.size("_words") <= max_words))
+    firsts = known.groupBy(F.get("_words", F.lit(0)).alias("_first")).agg(F.max(F.size("_words")).alias("_longest"))
+    # The next words of each token: max_words times the text at most.  The tokens are
+    # bound first, so that they are worked out once and the rows don't carry all of them.
+    following = F.get(F.transform(F.array(tokens(text)), lambda t: F.transform(
+        t, lambda w, i: F.slice(t, i + 1, F.lit(max_words)))), F.lit(0))
+    windows = (df.select(key, F.posexplode(following).alias("_pos", "_next"))
+               .withColumn("_first", F.get("_next", F.lit(0))))
+    runs = (windows.join(firsts, "_first")
+            .select(key, "_pos", F.explode(F.transform(F.sequence(F.lit(1), F.least("_longest", F.size("_next"))),
+                                                       lambda n: F.array_join(F.slice("_next", F.lit(1), n), " "))).alias("keyword")))
+    return (runs.join(known.drop("_words"), "keyword").groupBy(key, "category", "keyword")
+            .agg((F.min("_pos") + 1).alias("place")))
+
+
+def dictionary_lengths(dictionary: DataFrame) -> DataFrame:
+    """(words, keywords): how many keywords have how many words."""
+    return (dictionary.select(F.lower("keyword").alias("keyword")).where(F.col("keyword") != "").distinct()
+            .groupBy(F.size(F.split("keyword", " ")).alias("words")).agg(F.count(F.lit(1)).alias("keywords")))
+
+
 def skills_dimension(fact: DataFrame, *, key: str = "job_id", text: str = "job_description",
                      categories: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Skill dimension: one row per key with its description lower-cased and tagged."""

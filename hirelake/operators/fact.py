@@ -38,17 +38,16 @@ FACT_TYPES = {"job_highlights_qualifications": "array<string>", "job_highlights_
               "job_highlights_benefits": "array<string>", "job_extensions": "array<string>", "job_work_from_home": "boolean",
               "error": "boolean", "search_time": "timestamp_ntz"}
 
-# One posting of jobs_results, as read from the page (unknown keys ignored;
-# a field whose value does not cast becomes NULL on its own).  Scalar fields
-# stay VARIANT until ``scalar_text`` has seen whether they are scalars.
-JOB_SCHEMA = (
-    "struct<job_id variant, title variant, company_name variant, location variant, via variant, "
-    "description variant, thumbnail variant, extensions array<string>, "
-    "detected_extensions struct<posted_at variant, salary variant, schedule_type variant, "
-    "work_from_home boolean, commute_time variant>, "
-    "job_highlights array<struct<title string, items array<string>>>, "
-    "related_links array<struct<link variant, text variant>>>"
-)
+# One posting of jobs_results, as read from the page in one cast (unknown keys
+# ignored; a field whose value does not cast becomes NULL on its own).  Scalars
+# come as text; ``scalar_text`` drops what is the text of an object or array.
+JOB_FIELDS = {
+    "job_id": "string", "title": "string", "company_name": "string", "location": "string", "via": "string",
+    "description": "string", "thumbnail": "string", "extensions": "array<string>",
+    "detected_extensions": "struct<posted_at string, salary string, schedule_type string, work_from_home boolean, commute_time string>",
+    "job_highlights": "array<struct<title string, items array<string>>>",
+    "related_links": "array<struct<link string, text string>>",
+}
 
 # Typed landing column -> fact column.
 TYPED_RENAMES = {
@@ -65,12 +64,20 @@ def _get(v: Column, path: str, typ: str = "string") -> Column:
     return F.try_variant_get(v, path, typ)
 
 
-def scalar_text(v: Column) -> Column:
-    """The text of a scalar, NULL for an object or array.  Only text that
-    could be one by its first character has its type looked up."""
-    text = _get(v, "$")
+def job_schema(fields=tuple(JOB_FIELDS)) -> str:
+    return "struct<" + ", ".join(f"{f} {JOB_FIELDS[f]}" for f in fields) + ">"
+
+
+def scalar_text(text: Column, value: Column) -> Column:
+    """The text of a scalar, NULL for an object or array.  Only where the
+    text could be one by its first character is ``value`` (VARIANT) looked at."""
     return (F.when(~text.startswith("{") & ~text.startswith("["), text)
-            .when(F.schema_of_variant(v) == "STRING", text))
+            .when(F.schema_of_variant(value) == "STRING", text))
+
+
+def variant_text(value: Column) -> Column:
+    """The same of a VARIANT alone."""
+    return scalar_text(_get(value, "$"), value)
 
 
 def serialise(*cols: str | Column) -> Column:
@@ -153,45 +160,66 @@ def _highlight(highlights: Column, title: str) -> Column:
     return out
 
 
-def json_postings(archive: DataFrame, *, results: str = "results") -> DataFrame:
+#: Fact column -> the posting's field that it comes from.
+FROM_FIELD = {
+    "job_id": "job_id", "job_title": "title", "company_name": "company_name", "job_location": "location", "job_via": "via",
+    "job_description": "description", "company_thumbnail": "thumbnail", "job_extensions": "extensions",
+    **dict.fromkeys(["job_posted_at", "job_salary", "job_schedule_type", "job_work_from_home", "job_commute_time"], "detected_extensions"),
+    **dict.fromkeys(HIGHLIGHT_TITLES, "job_highlights"),
+    **dict.fromkeys(["company_link", "company_link_google"], "related_links"),
+}
+
+
+def json_postings(archive: DataFrame, *, columns: list[str] | None = None, failed: bool = False,
+                  results: str = "results") -> DataFrame:
     """S1 + P3 + J2 + P4-P9: one row per posting of every successful page.
 
     Each posting is cast once from VARIANT to a fixed struct; every field
-    below is then a plain struct access (no repeated path navigation)."""
-    ok = archive.where(~F.col("error"))                                  # P3 (NULL drops too)
+    below is then a plain struct access (no repeated path navigation).
+    ``columns``: fact columns wanted, the cast takes only their fields.
+    ``failed``: with a row (its ``error`` not false) for each other page too, so
+    that the cut-off can be taken from the same rows."""
     jobs = _get(as_variant(archive, results), "$.jobs_results", "array<variant>")
-    exploded = ok.select("*", F.explode_outer(jobs).alias("_job"))       # J2
-    typed = exploded.withColumn("_j", F.try_variant_get("_job", "$", JOB_SCHEMA))
-    j = F.col("_j")
-    ext = j["detected_extensions"]
-    links, hl = j["related_links"], j["job_highlights"]
-    link0, link1 = (scalar_text(F.get(links, i)["link"]) for i in (0, 1))
-    text0, text1 = (scalar_text(F.get(links, i)["text"]) for i in (0, 1))
+    if failed:
+        exploded = archive.select("*", F.explode_outer(F.when(~F.col("error"), jobs)).alias("_job"))
+    else:
+        exploded = archive.where(~F.col("error")).select("*", F.explode_outer(jobs).alias("_job"))     # P3 (NULL drops too), J2
+    wanted = FACT_COLUMNS if columns is None else [c for c in FACT_COLUMNS if c in columns]
+    fields = [f for f in JOB_FIELDS if f in {FROM_FIELD.get(c) for c in wanted}] or ["job_id"]
+    typed = exploded.withColumn("_j", F.try_variant_get("_job", "$", job_schema(fields)))
+
+    def text(*path) -> Column:
+        value, at = F.col("_j"), "$"
+        for step in path:
+            value = F.get(value, step) if isinstance(step, int) else value[step]
+            at += f"[{step}]" if isinstance(step, int) else f".{step}"
+        return scalar_text(value, _get(F.col("_job"), at, "variant"))
+
+    def link(i):
+        return text("related_links", i, "link")
+
+    def says_web(i):
+        return F.left(text("related_links", i, "text"), F.lit(7)) == F.lit(SEE_WEB)
+
     cols = {
-        "job_id": scalar_text(j["job_id"]),
-        "job_title": scalar_text(j["title"]),
-        "company_name": scalar_text(j["company_name"]),
-        "job_location": scalar_text(j["location"]),
-        "job_via": scalar_text(j["via"]),
-        "job_description": scalar_text(j["description"]),
-        **{name: _highlight(hl, title) for name, title in HIGHLIGHT_TITLES.items()},
-        "job_posted_at": scalar_text(ext["posted_at"]),
-        "job_salary": scalar_text(ext["salary"]),
-        "job_schedule_type": scalar_text(ext["schedule_type"]),
-        "job_work_from_home": ext["work_from_home"],                                      # P7
-        "job_commute_time": scalar_text(ext["commute_time"]),
-        "job_extensions": j["extensions"],                                                # P6
-        "company_link": F.when(F.left(link0, F.lit(22)) != F.lit(GOOGLE_PREFIX), link0),   # P8
-        "company_link_google": (F.when(F.left(text0, F.lit(7)) == F.lit(SEE_WEB), link0)   # P9
-                                .when(F.left(text1, F.lit(7)) == F.lit(SEE_WEB), link1)),
-        "company_thumbnail": scalar_text(j["thumbnail"]),
-        "error": F.col("error"),
-        "search_term": F.col("search_term"),
-        "search_location": F.col("search_location"),
-        "search_time": F.col("search_time"),
-        "search_id": F.col("search_id"),
+        "job_id": lambda: text("job_id"),
+        "job_title": lambda: text("title"),
+        "company_name": lambda: text("company_name"),
+        "job_location": lambda: text("location"),
+        "job_via": lambda: text("via"),
+        "job_description": lambda: text("description"),
+        **{name: (lambda title=title: _highlight(F.col("_j.job_highlights"), title)) for name, title in HIGHLIGHT_TITLES.items()},
+        "job_posted_at": lambda: text("detected_extensions", "posted_at"),
+        "job_salary": lambda: text("detected_extensions", "salary"),
+        "job_schedule_type": lambda: text("detected_extensions", "schedule_type"),
+        "job_work_from_home": lambda: F.col("_j.detected_extensions.work_from_home"),                  # P7
+        "job_commute_time": lambda: text("detected_extensions", "commute_time"),
+        "job_extensions": lambda: F.col("_j.extensions"),                                              # P6
+        "company_link": lambda: F.when(F.left(link(0), F.lit(22)) != F.lit(GOOGLE_PREFIX), link(0)),   # P8
+        "company_link_google": lambda: F.when(says_web(0), link(0)).when(says_web(1), link(1)),        # P9
+        "company_thumbnail": lambda: text("thumbnail"),
     }
-    return typed.select(*[c.alias(n) for n, c in cols.items()])
+    return typed.select(*[cols[c]().alias(c) if c in cols else c for c in wanted])
 
 
 # ------------------------------------------------------------- P1 / P2
@@ -216,12 +244,21 @@ def build_fact(archive: DataFrame, typed: DataFrame) -> DataFrame:
     return with_flags(json_postings(archive).unionByName(older, allowMissingColumns=True))   # U1 + P11
 
 
+def fact_of(postings: DataFrame, typed: DataFrame, *, columns: list[str] | None = None) -> DataFrame:
+    """M19 from stored ``json_postings(..., failed=True)``: the cut-off and the
+    postings are read from one narrow table, and no page is kept whole."""
+    older = typed_rows(typed, postings.agg(F.min("search_time")).scalar())
+    fact = with_flags(postings.where(~F.col("error")).unionByName(older, allowMissingColumns=True))
+    return fact if columns is None else fact.select(*columns)
+
+
 def with_flags(rows: DataFrame) -> DataFrame:
     """P10: the fact's columns (those that ``rows`` lacks are NULL) and the two
     TRUE/NULL flags."""
     ext = F.col("job_extensions")
-    return rows.select(
-        *[F.col(c) if c in rows.columns else F.lit(None).cast(FACT_TYPES.get(c, "string")).alias(c) for c in FACT_COLUMNS],
+    filled = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(FACT_TYPES.get(c, "string")).alias(c) for c in FACT_COLUMNS])
+    return filled.select(
+        *FACT_COLUMNS,
         true_or_null(F.array_contains(ext, F.lit("No degree mentioned"))).alias("job_no_degree_mention"),
         true_or_null(F.array_contains(ext, F.lit("Health insurance"))).alias("job_health_insurance"),
     )
@@ -257,8 +294,12 @@ def landing_rows(archive: DataFrame, *, load_time: Column | None = None,
     jobs = _get(as_variant(archive, results), "$.jobs_results", "array<variant>")
     rows = ok.select("search_term", "search_location", load_time.alias("date_time"),
                      F.explode(jobs).alias("_job"))
-    typed = rows.select("search_term", "search_location", "date_time",
-                        F.try_variant_get("_job", "$", JOB_SCHEMA).alias("_j"))
+    # both: the cast posting, and the fields as they stand for those that may not be scalars
+    typed = rows.select("search_term", "search_location", "date_time", "_job",
+                        F.try_variant_get("_job", "$", job_schema([f for f in JOB_FIELDS if f not in ("job_highlights", "related_links")])).alias("_j"))
     flat = flatten_struct(flatten_struct(typed, "_j"), "detected_extensions")
+    inside = {f: f"$.{f}" for f in JOB_FIELDS}
+    nested = {f: f"$.detected_extensions.{f}" for f in ("posted_at", "salary", "schedule_type", "commute_time")}
+    text = {**{f: p for f, p in inside.items() if JOB_FIELDS[f] == "string"}, **nested}
     kept = allow_list(flat, TYPED_ALLOW_LIST)
-    return kept.select(*[scalar_text(F.col(c)).alias(c) if t == "variant" else c for c, t in kept.dtypes])
+    return flat.select(*[scalar_text(F.col(c), _get(F.col("_job"), text[c], "variant")).alias(c) if c in text else c for c in kept.columns])

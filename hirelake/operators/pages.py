@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import sinks
-from .fact import TYPED_ALLOW_LIST, as_variant, scalar_text
+from .fact import TYPED_ALLOW_LIST, as_variant, variant_text
 
 FIELDS = "map<string,variant>"
 NESTED = "detected_extensions"
@@ -48,7 +48,7 @@ def _typed(field: str, kind: str) -> Column:
         return F.try_variant_get(value, "$", kind)
     if kind.startswith("ARRAY"):
         return F.try_variant_get(value, "$", "array<string>")
-    return scalar_text(value)
+    return variant_text(value)
 
 
 def landing_by_data(archive: DataFrame, *, allowed: Sequence[str] = TYPED_ALLOW_LIST, load_time: Column | None = None,

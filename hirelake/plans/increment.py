@@ -21,12 +21,19 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONTH_COL, month_of
 from ..operators import fact as fact_ops
-from ..operators import incremental, partials, salary, skills, titles, wide
+from ..operators import incremental, partials, public, salary, skills, titles, wide
 from ..sources.batches import BatchTable
 from .pipeline import Inputs, archive_batch
 
 TYPED = "typed"
-PARTIALS = {"skills": partials.skill_partials, "sizes": partials.size_partials, "pay": partials.pay_partials}
+#: What a batch adds: how it is counted, its partition column, how batches merge.
+PARTIALS = {
+    "skills": (partials.skill_partials, MONTH_COL, partials.merged),
+    "sizes": (partials.size_partials, MONTH_COL, partials.merged),
+    "pay": (partials.pay_partials, MONTH_COL, partials.merged),
+    "public": (public.stored_survivors, public.PREFIX,
+               lambda stored: public.merged_survivors(stored).withColumn(public.PREFIX, F.lower(F.left(F.hex("_key"), F.lit(2))))),
+}
 
 
 class Increments:
@@ -39,7 +46,7 @@ class Increments:
         self.fact = BatchTable(spark, f"{out}/fact", [MONTH_COL])
         self.dimensions = {name: BatchTable(spark, f"{out}/{name}") for name in ("salary", "skills", "titles")}
         self.wide = BatchTable(spark, f"{out}/wide", [MONTH_COL])
-        self.partials = {name: BatchTable(spark, f"{out}/partials/{name}", [MONTH_COL]) for name in PARTIALS}
+        self.partials = {name: BatchTable(spark, f"{out}/partials/{name}", [part]) for name, (_, part, _) in PARTIALS.items()}
 
     # ----------------------------------------------------------------- load
     def add(self, batch: str, inputs: Inputs, *, title_labels=None) -> None:
@@ -81,15 +88,16 @@ class Increments:
         if not self.wide.has(unit):
             rows = wide.build_wide(fact, dims["skills"].read(), inputs.country, dims["salary"].read(), dims["titles"].read())
             self.wide.append(unit, rows.withColumn(MONTH_COL, month_of("search_time")), replaces=replaces)
-        for name, counted in PARTIALS.items():
+        for name, (counted, *_) in PARTIALS.items():
             if not self.partials[name].has(unit):
                 self.partials[name].append(unit, counted(self.wide.read([unit]).drop(MONTH_COL)), replaces=replaces)
 
     def compact(self, batch: str) -> None:
         """Merge the partials of all batches into one."""
-        for table in self.partials.values():
+        for name, (*_, merged) in PARTIALS.items():
+            table = self.partials[name]
             if not table.has(batch):
-                table.compact(batch, partials.merged(table.read()))
+                table.compact(batch, merged(table.read()).select(*table.read().columns))
 
     # ---------------------------------------------------------------- marts
     def marts(self, as_of) -> dict[str, DataFrame]:
@@ -100,4 +108,5 @@ class Increments:
                 "grains": partials.skill_grains(part["skills"], part["sizes"], as_of),
                 "skill_trend": partials.skill_trend(part["skills"], part["sizes"]),
                 "skill_pay": partials.skill_pay(part["pay"], as_of),
+                "public": public.finished(public.merged_survivors(part["public"])),
                 **partials.health(part["sizes"])}

@@ -14,12 +14,14 @@ from ..functions.columns import MONTH_COL, month_of
 from ..operators import fact as fact_ops
 from ..operators import pages as page_ops
 from ..operators import partials, title_model
+from ..operators import public as public_ops
+from ..operators import skills as skill_ops
 from ..operators.titles import ABBREVIATIONS
 from ..sources import adapters as ad
 from ..sources import sinks, tables
 from ..sources.batches import BatchTable
 from .catalog import (_ALL_GRAINS_SQL, _M1_SQL, _SLICER_SQL, _TREND_SQL, D7, D30, DYTD, PW, ALL_TIME, LAST_7, LAST_30, YTD,
-                      archive, register, staged)
+                      _public_sql, archive, register, staged)
 
 #: Where the first batch of a load ends.
 SPLIT = "2000-01-01"
@@ -122,6 +124,19 @@ def q_increment_trend(spark, sf_dir):
     return partials.skill_trend(*_partial_tables(spark, sf_dir, "skills", "sizes"))
 
 
+# ------------------------------------------- M16 over batches
+@register("increment_public", "WITH " + ad.POSTINGS_TEXT_SQL + "," + _public_sql("pt"))
+def q_increment_public(spark, sf_dir):
+    """The public table from the survivors of two batches, the later one first."""
+    wide = staged(ad.postings_text(spark, sf_dir), "wide")
+    late = F.coalesce(F.col("search_time") >= "2024-01-02", F.lit(False))
+    table = BatchTable(spark, sinks.scratch_path(spark, "public"), [public_ops.PREFIX])
+    for batch, part in (("late", wide.where(late)), ("early", wide.where(~late)), ("late", wide.where(late))):
+        table.append(batch, public_ops.stored_survivors(part))
+    out = public_ops.finished(public_ops.merged_survivors(table.read()))
+    return out.withColumn("job_keywords", F.array_join("job_keywords", "|"))
+
+
 # ------------------------------------------- A8 mergeable median
 @register("skill_pay_sketch", PW + f""",
 frames AS (
@@ -308,3 +323,49 @@ def q_title_model(spark, sf_dir):
     labelled, titles = headline_titles(spark, sf_dir)
     model = title_model.fit(labelled, LANGUAGES, sinks.scratch_path(spark, "title-model"))
     return title_model.score(titles, model).withColumn("score", F.round("score", 6))
+
+
+# --------------------------------------- T1 / S6 dictionary as a table
+_TOKENS_SQL = r"""
+WITH toks AS (
+  SELECT doc_id, lang, list_filter(list_transform(regexp_split_to_array(lower(text), '\s+'),
+           lambda w: regexp_replace(w, '^[,;:!?*\-()"'']+|[.,;:!?*\-()"'']+$', '', 'g')), lambda w: w <> '') AS tok
+  FROM documents)"""
+
+
+def phrase_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary that grows with the data: the first word, and the first two
+    and three words, of every document, by language."""
+    docs = ad.read_table(spark, sf_dir, "documents", ["lang", "text"])
+    tok = docs.select("lang", skill_ops.tokens("text").alias("t"))
+    phrases = F.array(*(F.when(F.size("t") >= n, F.array_join(F.slice("t", 1, n), " ")) for n in (1, 2, 3)))
+    return (tok.select(F.coalesce("lang", F.lit("none")).alias("category"), F.explode(phrases).alias("keyword"))
+            .where(F.col("keyword").isNotNull()).distinct())
+
+
+@register("keyword_table", _TOKENS_SQL + """,
+dict AS (
+  SELECT DISTINCT coalesce(lang, 'none') AS category, array_to_string(tok[1:n], ' ') AS keyword
+  FROM toks, (VALUES (1), (2), (3)) v(n) WHERE len(tok) >= n),
+pos AS (SELECT doc_id, tok, unnest(range(1, len(tok) + 1)) AS i FROM toks),
+grams AS (
+  SELECT doc_id, i, tok[i] AS g FROM pos
+  UNION ALL SELECT doc_id, i, tok[i] || ' ' || tok[i + 1] FROM pos WHERE i + 1 <= len(tok)
+  UNION ALL SELECT doc_id, i, tok[i] || ' ' || tok[i + 1] || ' ' || tok[i + 2] FROM pos WHERE i + 2 <= len(tok))
+SELECT doc_id, category, keyword, CAST(min(i) AS INTEGER) AS place FROM grams JOIN dict ON g = keyword GROUP BY ALL""")
+def q_keyword_table(spark, sf_dir):
+    path = sinks.scratch_path(spark, "dictionary")
+    skill_ops.write_dictionary(phrase_dictionary(spark, sf_dir), path)
+    docs = ad.read_table(spark, sf_dir, "documents", ["doc_id", "text"], heavy=True)
+    return skill_ops.tag_by_table(docs, "text", skill_ops.read_dictionary(spark, path), key="doc_id")
+
+
+# ------------------------------------------------------------- K10
+@register("load_report", """
+SELECT s_nationkey, count(*) AS rows, 'struct<s_suppkey:bigint,s_name:string,s_nationkey:' ||
+       lower(CASE typeof(any_value(s_nationkey)) WHEN 'INTEGER' THEN 'int' ELSE typeof(any_value(s_nationkey)) END) || ',s_acctbal:double>' AS schema
+FROM supplier GROUP BY s_nationkey""")
+def q_load_report(spark, sf_dir):
+    """Each nation's suppliers and their schema, as a load's log has them."""
+    supplier = ad.read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+    return sinks.reports(supplier, "s_nationkey")

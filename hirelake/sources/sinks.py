@@ -109,3 +109,8 @@ def read_routed(spark: SparkSession, path: str, outcome: str, schema: T.StructTy
 def report(df: DataFrame) -> dict:
     """Row count and schema of a result (an action; for job logs)."""
     return {"rows": df.count(), "schema": df.schema.simpleString()}
+
+
+def reports(df: DataFrame, *by: str) -> DataFrame:
+    """K10 as a table: rows and schema of each part of a result, lazily."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).withColumn("schema", F.lit(df.schema.simpleString()))

@@ -173,7 +173,7 @@ def two_days(spark, inputs):
 
 def _same_marts(got, result):
     assert got["skills"].count() > 20 and got["grains"].count() > 50
-    for name in ("skills", "slicer", "skill_trend", "num_jobs", "dates", "last_update"):
+    for name in ("skills", "slicer", "skill_trend", "num_jobs", "dates", "last_update", "public"):
         assert rounded(got[name]) == rounded(result[name]), name
     frames = {"All time": "alltime", "Last 7 days": "7day", "Last 30 days": "30day", "YTD": "ytd"}
     for name, mart in frames.items():
@@ -237,6 +237,15 @@ def test_marts_of_a_timeframe_read_its_months(spark, two_days):
     assert "PartitionFilters: [isnotnull(search_month" in plan and "2001-07-01" in plan
 
 
+def test_survivors_of_a_prefix_read_its_partition(spark, two_days):
+    from hirelake.operators import public
+    stored = two_days.partials["public"].read()
+    few = public.keys_of(stored, ["0a", "ff"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_prefix" in plan and "IN (0a,ff)" in plan
+    assert stored.where("key_prefix <> lower(left(hex(_key), 2))").count() == 0
+
+
 def test_compaction_keeps_the_marts(spark, inputs, whole):
     tables = increment.Increments(spark, folder("compact"))
     for day, part in zip(("day-1", "day-2"), _days(inputs), strict=True):
@@ -409,3 +418,33 @@ def test_headlines_held_out(spark):
     model = title_model.fit(labelled.where(~held), loads.LANGUAGES, folder("model"))
     got = title_model.agreement(title_model.score(labelled.where(held), model), labelled.where(held)).first()
     assert got.titles > 50 and got.accuracy > 0.9
+
+
+# --------------------------------------- running sums, table dictionary
+def test_running_sums_and_places_equal_a_window(spark):
+    from pyspark.sql import Window
+
+    from hirelake.operators import numbering
+    draw = random.Random(3)
+    data = [(draw.randint(0, 40), draw.choice("abc"), draw.randint(-5, 90)) for _ in range(700)]
+    df = spark.createDataFrame(data, "k int, c string, v int").distinct().repartition(5)
+    order = ["k", "c", "v"]
+    ahead = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("*", F.coalesce(F.sum("v").over(ahead), F.lit(0)).alias("s"), F.row_number().over(Window.orderBy(*order)).alias("n"))
+    assert rows(numbering.sum_before(df, order, "v", "s", partitions=7)) == rows(want.drop("n"))
+    assert rows(numbering.number_rows(df, order, "n", partitions=7)) == rows(want.drop("s"))
+    assert numbering.sum_before(df.limit(0), order, "v", "s").count() == 0
+
+
+def test_a_table_dictionary_tags_as_literals_do(spark):
+    from hirelake.functions.keywords import SKILL_CATEGORIES
+    from hirelake.operators import skills
+    words = [k for ks in SKILL_CATEGORIES.values() for k in ks]
+    draw = random.Random(5)
+    docs = [(i, " ".join(draw.choice([*words, "the", "and,", "(of)", "Sql.", "--"]) for _ in range(draw.randint(0, 60)))) for i in range(300)]
+    df = spark.createDataFrame([*docs, (999, None), (1000, "")], "id int, text string").repartition(3)
+    tagged = skills.tag_keywords(df, "text", keep=["id"], all_column=None)
+    table = skills.tag_by_table(df, "text", skills.dictionary_frame(spark), key="id")
+    assert rows(table.drop("place")) == rows(skills.skill_pairs(tagged, "id", list(SKILL_CATEGORIES)))
+    lengths = {r.words: r.keywords for r in skills.dictionary_lengths(skills.dictionary_frame(spark)).collect()}
+    assert max(lengths) <= 3 and sum(lengths.values()) == len({w.lower() for w in words})

@@ -43,12 +43,10 @@ def parting(tokenizer) -> str:
     combining mark at the end are left out, as the mark goes with the
     punctuation there; so are those from U+3000 on, whose scripts hardly part
     words (their words are encoded with the mark, which is always right)."""
-    good = []
-    for c in range(0x3000):
-        if unicodedata.category(chr(c))[0] == "L":
-            text = tokenizer.normalizer.normalize_str(chr(c) + ",")
-            if tokenizer.pre_tokenizer.pre_tokenize_str(text)[-1][0] == ",":
-                good.append(c)
+    letters = [chr(c) for c in range(0x3000) if unicodedata.category(chr(c))[0] == "L"]
+    text = tokenizer.normalizer.normalize_str("".join(f"{c}, " for c in letters))
+    commas = [piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text) if "," in piece]
+    good = [ord(c) for c, piece in zip(letters, commas, strict=True) if piece == ","]
     ranges = []
     for c in good:
         if ranges and ranges[-1][1] == c - 1:

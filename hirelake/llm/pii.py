@@ -19,7 +19,8 @@ The trees learn from the corpus: the rules' spans and their other spellings
 (no country code, regrouped, "at" for @) are right; matches that fail their
 rule, the same values as another kind, card numbers with a changed digit and
 prose around "at" are wrong.  Labelled rows are counted by features over all
-documents; at most ``cells`` (a parameter) of these counts are fitted.
+documents, and all counts are fitted: on the driver up to ``cells`` (a
+parameter) of them, and beyond that by sums that tasks make for each split.
 
 Everything about a document is one projection over its row: no shuffle, so a
 hot value or a long text stays with its row.  Patterns are linear in the text
@@ -38,6 +39,7 @@ import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -232,27 +234,34 @@ def _chance(margin: float) -> float:
 RISING = {FEATURES.index(f) for f in ("luhn", "cue")}
 
 
-def _grown(rows: list[tuple[tuple, float, float]], depth: int, rate: float):
-    """A tree of second-order steps on (features, gradient, curvature)."""
-    g, h = sum(r[1] for r in rows), sum(r[2] for r in rows)
+def _split(by: list[dict[int, list[float]]], g: float, h: float) -> tuple[int, int] | None:
+    """The best (feature, limit), from sums of gradient and curvature by value of each feature."""
     best = (1e-6, None)
-    for feature in range(len(FEATURES)) if depth else ():
-        by: dict[int, list[float]] = {}
-        for row, gradient, curvature in rows:
-            held = by.setdefault(row[feature], [0.0, 0.0])
-            held[0] += gradient
-            held[1] += curvature
+    for feature, held in enumerate(by):
         left_g = left_h = 0.0
-        for limit in sorted(by)[:-1]:
-            left_g, left_h = left_g + by[limit][0], left_h + by[limit][1]
+        for limit in sorted(held)[:-1]:
+            left_g, left_h = left_g + held[limit][0], left_h + held[limit][1]
             if feature in RISING and (left_g - g) / (h - left_h + 1) < -left_g / (left_h + 1):
                 continue
             gain = left_g ** 2 / (left_h + 1) + (g - left_g) ** 2 / (h - left_h + 1) - g ** 2 / (h + 1)
             if gain > best[0] + 1e-9:
                 best = (gain, (feature, limit))
-    if best[1] is None:
+    return best[1]
+
+
+def _grown(rows: list[tuple[tuple, float, float]], depth: int, rate: float):
+    """A tree of second-order steps on (features, gradient, curvature)."""
+    g, h = sum(r[1] for r in rows), sum(r[2] for r in rows)
+    by: list[dict[int, list[float]]] = [{} for _ in FEATURES] if depth else []
+    for feature, sums in enumerate(by):
+        for row, gradient, curvature in rows:
+            held = sums.setdefault(row[feature], [0.0, 0.0])
+            held[0] += gradient
+            held[1] += curvature
+    best = _split(by, g, h)
+    if best is None:
         return -rate * g / (h + 1)
-    feature, limit = best[1]
+    feature, limit = best
     return (feature, limit, *(_grown([r for r in rows if (r[0][feature] <= limit) == low], depth - 1, rate) for low in (True, False)))
 
 
@@ -274,9 +283,23 @@ def boosted(cells: list[tuple[tuple, float, float]], rounds: int = 24, depth: in
     return model
 
 
+def pooled(pools: list[list[float]], score: float, yes: float, no: float) -> None:
+    """Add the next higher score to pools whose chances rise."""
+    pools.append([score, yes, no])
+    while len(pools) > 1 and pools[-2][1] * sum(pools[-1][1:]) >= pools[-1][1] * sum(pools[-2][1:]):
+        _, yes, no = pools.pop()
+        pools[-1][1] += yes
+        pools[-1][2] += no
+
+
+def least_good(pools: list[list[float]], target: float) -> float | None:
+    """The least score whose chance (with one wrong row added) reaches ``target``."""
+    return min((score for score, yes, no in pools if yes / (yes + no + 1) >= target), default=None)
+
+
 def calibrated(model: Model, held: list[tuple[tuple, float, float]], target: float) -> dict[int, float]:
     """Threshold of each kind: pooled so that chances rise with the score, the
-    least score whose chance (with one wrong row added) reaches ``target``."""
+    least good score, half way down to the greatest that is not good enough."""
     out = {}
     for kind in {c[0][0] for c in held}:
         pools: list[list[float]] = []
@@ -286,15 +309,101 @@ def calibrated(model: Model, held: list[tuple[tuple, float, float]], target: flo
             got[0] += yes
             got[1] += no
         for score in sorted(by):
-            pools.append([score, *by[score]])
-            while len(pools) > 1 and pools[-2][1] * sum(pools[-1][1:]) >= pools[-1][1] * sum(pools[-2][1:]):
-                _, yes, no = pools.pop()
-                pools[-1][1] += yes
-                pools[-1][2] += no
-        good = [score for score, yes, no in pools if yes / (yes + no + 1) >= target]
-        if good:  # half way down to the greatest score that is not good enough
-            below = max((score for score in by if score < min(good)), default=0.0)
-            out[kind] = (min(good) + below) / 2
+            pooled(pools, score, *by[score])
+        good = least_good(pools, target)
+        if good is not None:
+            out[kind] = (good + max((score for score in by if score < good), default=0.0)) / 2
+    return out
+
+
+# --------------------------------------------- the same from sums that tasks make
+#: Sums are of whole numbers, so that they don't depend on the order of the tasks.
+UNIT = float(1 << 24)
+
+
+def _tree_of(nodes: dict, at: int = 1):
+    node = nodes[at]
+    return (*node, _tree_of(nodes, 2 * at), _tree_of(nodes, 2 * at + 1)) if isinstance(node, tuple) else node
+
+
+def _sums(cells: DataFrame, nodes: dict, leaves: list[int]) -> dict[int, list[dict[int, list[float]]]]:
+    """Gradient and curvature by node, feature and value: as many rows as small
+    whole numbers make, however many cells there are.  Node n has the nodes 2n
+    and 2n + 1 below it; ``leaves`` are those not split so far.  ``margin``: that
+    of the trees before."""
+    places = _when(_tree_of({**nodes, **{n: n if n in leaves else 0 for n in {*nodes, *leaves} if not isinstance(nodes.get(n), tuple)}}), F.col("f"))
+    weighed = cells.select("f", F.log1p("yes").alias("yes"), F.log1p("no").alias("no"), (1 / (1 + F.exp(-F.col("margin")))).alias("p"), places.cast("int").alias("node"))
+    g, h = ((F.col("yes") + F.col("no")) * F.col("p") - F.col("yes"), (F.col("yes") + F.col("no")) * F.col("p") * (1 - F.col("p")))
+    found = (weighed.where("node > 0")
+             .select("node", *(F.round(x * UNIT).cast("long").alias(n) for n, x in (("g", g), ("h", h))),
+                     F.posexplode(F.array(*(F.col("f")[c] for c in FEATURES))).alias("feature", "value"))
+             .groupBy("node", "feature", "value").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect())
+    out: dict[int, list[dict[int, list[float]]]] = {n: [{} for _ in FEATURES] for n in leaves}
+    for r in found:
+        out[r.node][r.feature][r.value] = [r.g / UNIT, r.h / UNIT]
+    return out
+
+
+def boosted_by_tasks(scratch: common.Scratch, cells: DataFrame, rounds: int = 24, depth: int = 3, rate: float = 0.4) -> Model:
+    """``boosted`` for cells (f, yes, no) of any number, with raw counts."""
+    weight = {c: F.sum(F.round(F.log1p(c) * UNIT).cast("long")).alias(c) for c in ("yes", "no")}
+    totals = cells.agg(*weight.values()).first()
+    if not totals.yes or not totals.no:
+        return Model()
+    model = Model(start=math.log(totals.yes / totals.no))
+    cells = scratch.write(cells.withColumn("margin", F.lit(model.start)), "margins-0")
+    for tree in range(1, rounds + 1):
+        nodes, leaves, known = {}, [1], {}
+        for level in range(depth):
+            sums, below = _sums(cells, nodes, leaves), []
+            for n in leaves:
+                by = sums[n]
+                g, h = (sum(v[i] for v in by[0].values()) for i in (0, 1))
+                known[n] = (g, h)
+                best = _split(by, g, h)
+                if best is None:
+                    nodes[n] = -rate * g / (h + 1)
+                    continue
+                nodes[n] = best
+                below += [2 * n, 2 * n + 1]
+                low = [sum(v[i] for value, v in by[best[0]].items() if value <= best[1]) for i in (0, 1)]
+                known[2 * n], known[2 * n + 1] = tuple(low), (g - low[0], h - low[1])
+            leaves = below
+            if not leaves:
+                break
+        nodes.update({n: -rate * known[n][0] / (known[n][1] + 1) for n in leaves})
+        model.trees.append(_tree_of(nodes))
+        cells = scratch.write(cells.withColumn("margin", F.col("margin") + _when(model.trees[-1], F.col("f"))), f"margins-{tree}")
+        scratch.drop(f"margins-{tree - 1}")
+    return model
+
+
+def calibrated_by_tasks(scratch: common.Scratch, model: Model, held: DataFrame, target: float) -> dict[int, float]:
+    """``calibrated`` for cells of any number.  Each range of scores is pooled
+    where it is, and the pools of all ranges, which are few, on the driver."""
+    def pool(batches):
+        pools: dict[int, list[list[float]]] = {}
+        for batch in batches:
+            for kind, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                pooled(pools.setdefault(kind, []), *row)
+        rows = [(kind, *p) for kind, held in pools.items() for p in held]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+            list(zip(*rows, strict=True)) or [[]] * 4, (pa.int32(), pa.float64(), pa.int64(), pa.int64()), strict=True)],
+            names=["kind", "score", "yes", "no"])
+
+    schema = "kind int, score double, yes long, no long"
+    scores = scratch.write(held.select(F.col("f.kind").alias("kind"), F.round(model.column(F.col("f")), 9).alias("score"), "yes", "no")
+                           .groupBy("kind", "score").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "scores")
+    ranged = scores.repartitionByRange(common.partitions(held.sparkSession), "kind", "score").sortWithinPartitions("kind", "score")
+    pools: dict[int, list[list[float]]] = {}
+    for r in sorted(ranged.mapInArrow(pool, schema).collect(), key=lambda r: (r.kind, r.score)):
+        pooled(pools.setdefault(r.kind, []), r.score, r.yes, r.no)
+    out = {}
+    for kind, own in pools.items():
+        good = least_good(own, target)
+        if good is not None:
+            below = scores.where((F.col("kind") == kind) & (F.col("score") < good)).agg(F.max("score")).first()[0]
+            out[kind] = (good + (below or 0.0)) / 2
     return out
 
 
@@ -367,11 +476,18 @@ def labelled(found: DataFrame) -> DataFrame:
 
 
 def fit(found: DataFrame, cells: int = 20_000, target: float = 0.9) -> Model:
-    """The trees and thresholds.  ``cells``: most counts of labelled rows with
-    the same features that come to the driver, drawn by a hash of theirs."""
-    counts = (labelled(found).groupBy("f", "held").agg(F.count_if("right").alias("yes"), F.count_if(~F.col("right")).alias("no"))
-              .orderBy(F.xxhash64("f", "held"), "f", "held").limit(cells).collect())
-    rows = sorted((tuple(r.f), float(r.yes), float(r.no), r.held) for r in counts)
+    """The trees and thresholds, from all labelled rows.  ``cells``: most counts
+    of labelled rows with the same features that come to the driver; more are
+    fitted where they are."""
+    scratch = common.Scratch(found.sparkSession, "pii-fit")
+    counts = scratch.write(labelled(found).groupBy("f", "held").agg(
+        F.count_if("right").alias("yes"), F.count_if(~F.col("right")).alias("no")), "cells")
+    if counts.count() > cells:
+        apart = {held: counts.where(F.col("held") == held).select("f", "yes", "no") for held in (False, True)}
+        model = boosted_by_tasks(scratch, apart[False])
+        model.thresholds = calibrated_by_tasks(scratch, model, apart[True], target)
+        return model
+    rows = sorted((tuple(r.f), float(r.yes), float(r.no), r.held) for r in counts.collect())
     # a count weighs as its logarithm: one hot value is not the whole table
     model = boosted([(f, math.log1p(yes), math.log1p(no)) for f, yes, no, held in rows if not held])
     model.thresholds = calibrated(model, [(f, yes, no) for f, yes, no, held in rows if held], target)

@@ -192,3 +192,18 @@ def test_long_texts_and_hot_runs(spark):
     for i in (5, 8, 9):
         assert found[i].base_sha256 == digest(LONG[i])[4]
     assert found[1].spans == found[2].spans == found[3].spans == ""
+
+
+def test_the_model_learns_from_all_counts(spark):
+    """More counts than come to the driver are fitted as well, not a part of them."""
+    draw = random.Random(7)
+    number = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    texts = [f"{draw.choice(['call', 'pay by card', 'see', 'host'])} +{number(2)} {number(3)} {number(6)} or {number(16)}, "
+             f"mail a{number(2)}@b{number(1)}.com, {number(4)}-{number(4)}-{number(4)}-{number(4)} at {number(9)}" for _ in range(400)]
+    found = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"]).cache()
+    seen = [tuple(r.f) for r in pii.labelled(found).select("f").distinct().collect()]
+    whole, spread = pii.fit(found), pii.fit(found, cells=20)
+    assert len(seen) > 20 and whole.thresholds
+    assert spread.thresholds == pytest.approx(whole.thresholds, abs=1e-4)
+    assert [spread.margin(f) for f in seen] == pytest.approx([whole.margin(f) for f in seen], abs=1e-4)
+    found.unpersist()

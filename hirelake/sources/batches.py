@@ -104,14 +104,11 @@ class BatchTable:
     def _unseen(self, df: DataFrame, key: str, order: Column | None) -> DataFrame:
         """Rows whose key neither the table nor an earlier row of the batch has
         (rows of one key: the least ``order``); a NULL key equals another."""
-        rest = [c for c in df.columns if c != key]
-        packed = F.struct(*rest)
-        first = F.any_value(packed) if order is None else F.min_by(packed, order)
-        one = df.groupBy(key).agg(first.alias("_row")).select(key, *(F.col(f"_row.{c}").alias(c) for c in rest)).select(*df.columns)
+        keys = df.select(F.col(key).alias("_known"))
+        again = keys.groupBy("_known").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_known")
+        same_key = F.col(key).eqNullSafe(F.col("_known"))
         stored = self.read()
-        if stored is None:
-            return one
-        if self.partition_by:
+        if stored is not None and self.partition_by:
             # the partitions of one batch: bounded by how many it writes
             where = F.lit(False)
             for row in df.select(*self.partition_by).distinct().collect():
@@ -120,8 +117,20 @@ class BatchTable:
                     same &= F.col(c).isNull() if row[c] is None else F.col(c) == F.lit(row[c])
                 where |= same
             stored = stored.where(where)
-        known = stored.select(F.col(key).alias("_known"))
-        return one.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+        known = None if stored is None else stored.select(F.col(key).alias("_known"))
+
+        def without(rows: DataFrame, gone: DataFrame | None) -> DataFrame:
+            return rows if gone is None else rows.join(gone, same_key, "left_anti")
+
+        # most batches repeat no key: their rows are neither ordered nor grouped
+        if again.isEmpty():
+            return without(df, known)
+        rest = [c for c in df.columns if c != key]
+        packed = F.struct(*rest)
+        first = F.any_value(packed) if order is None else F.min_by(packed, order)
+        one = (without(df.join(again, same_key, "left_semi"), known).groupBy(key).agg(first.alias("_row"))
+               .select(key, *(F.col(f"_row.{c}").alias(c) for c in rest)).select(*df.columns))
+        return without(df, again if known is None else again.unionByName(known)).unionByName(one)
 
     def append(self, batch: str, df: DataFrame, *, key: str | None = None, order: Column | None = None,
                replaces: Sequence[str] = ()) -> bool:

@@ -56,6 +56,16 @@ def test_keys_are_merged_over_batches_and_within_one(spark, table):
     assert table.rows() == 5
 
 
+def test_rows_are_ordered_only_where_a_key_repeats(spark):
+    table = BatchTable(spark, folder("ordered"))
+    batch = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    never = F.raise_error(F.lit("ordered")).cast("int")
+    assert table.append("one", batch, key="k", order=never) and table.append("again", batch, key="k", order=never)
+    twice = spark.createDataFrame([("c", 2), ("c", 1), (None, 0), (None, 9), ("d", 4)], "k string, v int")
+    assert table.append("two", twice, key="k", order=F.col("v"))
+    assert rows(table.read()) == rows(batch.unionByName(spark.createDataFrame([("c", 1), ("d", 4)], "k string, v int")))
+
+
 def test_the_probe_reads_the_batch_s_partitions_only(spark, table):
     table.append("one", spark.createDataFrame([("a", "m1", 1), ("b", "m2", 2)], KEYED), key="k")
     plan = table._unseen(spark.createDataFrame([("a", "m1", 1)], KEYED), "k", None)._jdf.queryExecution().executedPlan().toString()

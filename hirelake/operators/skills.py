@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import empty_to_null
 from ..functions.keywords import ALL_COLUMN, LISTED_CATEGORIES, SKILL_CATEGORIES
+from ..sources import sinks
 from .dedup import dedup_by_key
 
 EDGE_PUNCT = r"""^[,;:!?*\-()"']+|[.,;:!?*\-()"']+$"""
@@ -125,13 +126,22 @@ def tag_by_table(df: DataFrame, text: str, dictionary: DataFrame, *, key: str, m
     ``max_words`` runs of words, which meet the dictionary in a hash join on the
     run.  Keywords of more words are left out and ``dictionary_lengths`` tells
     how many there are.  Runs that no keyword begins with go before they are
-    multiplied: a token must be some keyword's first word.  Nothing is
-    broadcast by hand: Spark broadcasts a dictionary that it measures small, and
-    shuffles a larger one; a run that a third of all texts hold meets one row a
-    category, which the skew split divides."""
-    known = (dictionary.select("category", F.lower("keyword").alias("keyword")).where(F.col("keyword") != "").distinct()
-             .withColumn("_words", F.split("keyword", " ")).where(F.size("_words") <= max_words))
-    firsts = known.groupBy(F.get("_words", F.lit(0)).alias("_first")).agg(F.max(F.size("_words")).alias("_longest"))
+    multiplied: a token must be some keyword's first word.  The dictionary is
+    written first, a row per keyword with its categories, so that Spark knows its
+    size before it plans: it broadcasts a small one, and shuffles a larger one,
+    where the skew split divides a run that a third of all texts hold.  A text's
+    places are reduced per keyword; the categories multiply only what is left."""
+    spark = df.sparkSession
+    words = F.split("keyword", " ")
+    known = (dictionary.select("category", F.lower("keyword").alias("keyword")).where((F.col("keyword") != "") & (F.size(words) <= max_words))
+             .groupBy("keyword").agg(F.array_sort(F.collect_set(F.struct("category"))).alias("categories")))
+    path = sinks.scratch_path(spark, "keywords")
+    sinks.write_table(known, path)
+    known = spark.read.schema(known.schema).parquet(path)
+    firsts = known.groupBy(F.get(words, F.lit(0)).alias("_first")).agg(F.max(F.size(words)).alias("_longest"))
+    path = sinks.scratch_path(spark, "first-words")
+    sinks.write_table(firsts, path)
+    firsts = spark.read.schema(firsts.schema).parquet(path)
     # The next words of each token: max_words times the text at most.  The tokens are
     # bound first, so that they are worked out once and the rows don't carry all of them.
     following = F.get(F.transform(F.array(tokens(text)), lambda t: F.transform(
@@ -141,8 +151,8 @@ def tag_by_table(df: DataFrame, text: str, dictionary: DataFrame, *, key: str, m
     runs = (windows.join(firsts, "_first")
             .select(key, "_pos", F.explode(F.transform(F.sequence(F.lit(1), F.least("_longest", F.size("_next"))),
                                                        lambda n: F.array_join(F.slice("_next", F.lit(1), n), " "))).alias("keyword")))
-    return (runs.join(known.drop("_words"), "keyword").groupBy(key, "category", "keyword")
-            .agg((F.min("_pos") + 1).alias("place")))
+    placed = runs.join(known, "keyword").groupBy(key, "keyword", "categories").agg((F.min("_pos") + 1).alias("place"))
+    return placed.select(key, F.explode("categories.category").alias("category"), "keyword", "place")
 
 
 def dictionary_lengths(dictionary: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.columns import LAST_7, MONTH_COL, month_of
 from hirelake.operators import fact as fact_ops
 from hirelake.operators import marts, pages, partials, title_model, titles
+from hirelake.operators import skills as skill_ops
 from hirelake.plans import increment, loads, pipeline
 from hirelake.plans.pipeline import Inputs, build_all
 from hirelake.sources import adapters as ad
@@ -458,3 +459,14 @@ def test_a_table_dictionary_tags_as_literals_do(spark):
     assert rows(table.drop("place")) == rows(skills.skill_pairs(tagged, "id", list(SKILL_CATEGORIES)))
     lengths = {r.words: r.keywords for r in skills.dictionary_lengths(skills.dictionary_frame(spark)).collect()}
     assert max(lengths) <= 3 and sum(lengths.values()) == len({w.lower() for w in words})
+
+
+def test_categories_multiply_a_text_s_keywords_behind_its_places(spark):
+    """A keyword of several categories (one of them NULL) is placed once a text, then multiplied."""
+    dictionary = spark.createDataFrame([("x", "Big"), ("y", "big"), (None, "big"), ("x", "big data"), ("x", "no such thing at all")], "category string, keyword string")
+    docs = spark.createDataFrame([(1, "The big big data."), (1, "big"), (None, "data big"), (2, None)], "id long, text string")
+    out = skill_ops.tag_by_table(docs, "text", dictionary, key="id")
+    big = [(k, c, "big", p) for k, p in ((1, 1), (None, 2)) for c in ("x", "y", None)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([*big, (1, "x", "big data", 3)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(") < plan.index("Aggregate [")

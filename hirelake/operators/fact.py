@@ -98,10 +98,11 @@ def parse_zoned_time(s: str | Column) -> Column:
     applied, as a naive strptime does).  Built from the parts, so the
     session time zone plays no role; bad text or dates -> NULL."""
     s = F.col(s) if isinstance(s, str) else s
-    pattern = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2}) \S+$"
-    part = [F.regexp_extract(s, pattern, i) for i in range(1, 7)]
-    return F.try_make_timestamp_ntz(*[p.try_cast("int") for p in part[:5]],
+    # every part stands at a fixed place, so one match serves all of them
+    part = [F.substring(s, at, n) for at, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
+    time = F.try_make_timestamp_ntz(*[p.try_cast("int") for p in part[:5]],
                                     part[5].try_cast("decimal(16,6)"))
+    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} \S+$"), time)
 
 
 def as_variant(df: DataFrame, results: str = "results") -> Column:
@@ -111,19 +112,25 @@ def as_variant(df: DataFrame, results: str = "results") -> Column:
     return F.try_parse_json(F.col(results))
 
 
-def page_metadata(v: Column) -> dict[str, Column]:
+META_FIELDS = {"search_id": "search_metadata.id", "search_time": "search_metadata.created_at",
+               "search_time_taken": "search_metadata.total_time_taken", "search_language": "search_parameters.hl"}
+PAGE_META = ("struct<search_metadata struct<id string, created_at string, total_time_taken double>, "
+             "search_parameters struct<hl string>>")
+
+
+def with_metadata(df: DataFrame, *, results: str = "results") -> DataFrame:
     """Search id / time / time taken / language from a parsed page; if any
-    of the four is missing or unparsable, all four are NULL."""
-    fields = {
-        "search_id": _get(v, "$.search_metadata.id"),
-        "search_time": parse_zoned_time(_get(v, "$.search_metadata.created_at")),
-        "search_time_taken": _get(v, "$.search_metadata.total_time_taken", "double"),
-        "search_language": _get(v, "$.search_parameters.hl"),
-    }
+    of the four is missing or unparsable, all four are NULL.
+
+    The page is cast once, and each step's columns are those that the next one
+    reads several times, so none is worked out again for each use."""
+    read = df.select("*", _get(F.col(results), "$", PAGE_META).alias("_meta"))
+    found = read.select(*df.columns, *[(parse_zoned_time(F.col(f"_meta.{f}")) if n == "search_time" else F.col(f"_meta.{f}")).alias(n)
+                                       for n, f in META_FIELDS.items()])
     complete = None
-    for c in fields.values():
-        complete = c.isNotNull() if complete is None else complete & c.isNotNull()
-    return {k: F.when(complete, c) for k, c in fields.items()}
+    for n in META_FIELDS:
+        complete = F.col(n).isNotNull() if complete is None else complete & F.col(n).isNotNull()
+    return found.select(*df.columns, *[F.when(complete, F.col(n)).alias(n) for n in META_FIELDS])
 
 
 def archive_rows(pages: DataFrame, *, results: str = "results") -> DataFrame:
@@ -135,9 +142,8 @@ def archive_rows(pages: DataFrame, *, results: str = "results") -> DataFrame:
     results (JSON text or VARIANT)."""
     parsed = pages.select("search_term", "search_location", "result_offset", "error",
                           as_variant(pages, results).alias(results))
-    meta = page_metadata(F.col(results))
-    return parsed.select("search_term", "search_location", "result_offset", "error",
-                         *[c.alias(n) for n, c in meta.items()], results)
+    return with_metadata(parsed, results=results).select("search_term", "search_location", "result_offset", "error",
+                                                         *META_FIELDS, results)
 
 
 def page_key(archive: DataFrame, *, results: str = "results") -> Column:

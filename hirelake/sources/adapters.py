@@ -252,11 +252,12 @@ def raw_pages(spark: SparkSession, sf_dir: str, since: str | None = JSON_START)
     src = _orders_customers(spark, sf_dir)
     if since is not None:
         src = src.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    # postings are text before they are grouped: lists of text are far lighter to sort and merge than nested rows
     pages = (src.groupBy("c_custkey", F.floor(F.col("o_orderkey") / PAGE_SIZE).alias("_page"),
                          "c_mktsegment", "n_name", "c_acctbal")
              .agg(F.min("o_orderdate").alias("_time"),
                   F.count(F.lit(1)).alias("_n"),
-                  F.collect_list(F.when(posted, job)).alias("_jobs")))
+                  F.collect_list(F.when(posted, F.to_json(job))).alias("_jobs")))
     seg = F.col("c_mktsegment")
     meta = F.struct(
         F.concat(F.lit("srch-"), F.col("c_custkey").cast("string"), F.lit("-"),
@@ -264,15 +265,19 @@ def raw_pages(spark: SparkSession, sf_dir: str, since: str | None = JSON_START)
         F.concat(F.date_format("_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("created_at"),
         (F.col("_n") / 10).alias("total_time_taken"))
     params = F.when(seg != "HOUSEHOLD", F.struct(F.lit("en").alias("hl")))
-    jobs = F.when((F.size("_jobs") == 0) & (seg == "AUTOMOBILE"), F.lit(None)).otherwise(F.col("_jobs"))
-    results = F.to_json(F.struct(meta.alias("search_metadata"), params.alias("search_parameters"),
-                                 jobs.alias("jobs_results")))
+    no_list = (F.size("_jobs") == 0) & (seg == "AUTOMOBILE")
+    head = F.to_json(F.struct(meta.alias("search_metadata"), params.alias("search_parameters")))
+    open_head = F.left("_head", F.length("_head") - 1)
+    results = F.when(no_list, F.col("_head")).otherwise(
+        F.concat(open_head, F.lit(',"jobs_results":['), F.array_join("_jobs", ","), F.lit("]}")))
+    pages = pages.withColumn("_head", head).select("c_mktsegment", "n_name", "c_acctbal", results.alias("results"))
+    # each change in a step of its own, which reads the text made before and doesn't make it again
     for segment, (field, text, nested) in NESTED_FIELDS.items():
-        results = F.when(seg == segment, F.replace(results, F.lit(f'"{field}":"{text}"'), F.lit(f'"{field}":{nested}'))
-                         ).otherwise(results)
+        pages = pages.withColumn("results", F.when(seg == segment, F.replace("results", F.lit(f'"{field}":"{text}"'), F.lit(f'"{field}":{nested}'))
+                                                   ).otherwise(F.col("results")))
     return pages.select(seg.alias("search_term"), F.col("n_name").alias("search_location"),
                         F.lit(0).cast("bigint").alias("result_offset"),
-                        (F.col("c_acctbal") < 0).alias("error"), results.alias("results"))
+                        (F.col("c_acctbal") < 0).alias("error"), "results")
 
 
 # DuckDB: the fact those pages and the typed rows should give, written

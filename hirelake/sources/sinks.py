@@ -8,6 +8,7 @@ machine-local temporary folder.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -32,7 +33,21 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet",
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    # Pages are read whole again: a VARIANT parted into columns of an inferred
+    # schema costs more to write, and to put together at each read, than all else.
+    with setting(df.sparkSession, "spark.sql.variant.inferShreddingSchema", "false"):
+        w.save(path)
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """The session's setting while a write runs; then what it was before."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def append_rows(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import sinks
-from .fact import TYPED_ALLOW_LIST, as_variant, variant_text
+from .fact import TYPED_ALLOW_LIST, as_variant, scalar_text
 
 FIELDS = "map<string,variant>"
 NESTED = "detected_extensions"
@@ -41,14 +41,11 @@ def field_profile(postings: DataFrame) -> DataFrame:
             .groupBy("field").agg(F.count(F.lit(1)).alias("n_postings"), F.schema_of_variant_agg("value").alias("type")))
 
 
-def _typed(field: str, kind: str) -> Column:
-    """The value as its inferred type; text where values are of several."""
-    value = F.col("fields")[field]
+def _read_as(kind: str) -> str | None:
+    """What a value of the inferred type is read as (None: text, where values are of several)."""
     if kind == "BOOLEAN" or kind.startswith(("BIGINT", "DOUBLE", "DECIMAL", "TIMESTAMP", "DATE", "ARRAY<STRING>")):
-        return F.try_variant_get(value, "$", kind)
-    if kind.startswith("ARRAY"):
-        return F.try_variant_get(value, "$", "array<string>")
-    return variant_text(value)
+        return kind
+    return "array<string>" if kind.startswith("ARRAY") else None
 
 
 def landing_by_data(archive: DataFrame, *, allowed: Sequence[str] = TYPED_ALLOW_LIST, load_time: Column | None = None,
@@ -67,17 +64,24 @@ def landing_by_data(archive: DataFrame, *, allowed: Sequence[str] = TYPED_ALLOW_
     search = ["date_time", "search_term", "search_location"]
     wanted = [c for c in allowed if c not in search]
     kinds = {r.field: r.type for r in profile.where(F.col("field").isin(wanted)).collect()}
-    columns = {c: _typed(c, kinds[c]) for c in wanted if c in kinds and kinds[c] != "VOID"}
-
-    def lost(name, value):
+    columns = {c: f"_c{i}" for i, c in enumerate(c for c in wanted if c in kinds and kinds[c] != "VOID")}
+    read_as = {c: _read_as(kinds[c]) for c in columns}
+    fields = F.col("fields")
+
+    # Each value is read once, in a step of its own; which of them are lost is
+    # known before the fields are gone through by name.
+    read = postings.select(*search, "fields", *(F.try_variant_get(fields[c], "$", read_as[c] or "string").alias(n) for c, n in columns.items()))
+    typed = read.select(*search, "fields", *((F.col(n) if read_as[c] else scalar_text(F.col(n), fields[c])).alias(n) for c, n in columns.items()))
+    unread = [F.when(F.col(n).isNull() & F.map_contains_key(fields, c) & ~F.is_variant_null(fields[c]), F.lit(c)) for c, n in columns.items()]
+    found = typed.withColumn("_unread", F.array_compact(F.array(F.lit(None).cast("string"), *unread)))
+
+    def lost(name, _):
         strange = ~name.isin(*wanted, *known) if wanted else F.lit(True)
-        for c, read in columns.items():
-            strange |= (name == c) & read.isNull() & ~F.is_variant_null(value)
-        return strange
+        return strange | F.array_contains("_unread", name)
 
-    rescued = F.map_filter("fields", lost)
-    return postings.select(*(c.alias(n) for n, c in columns.items()), *(c for c in search if c in allowed),
-                           F.when(F.size(rescued) > 0, F.to_json(rescued)).alias("rescued"))
+    kept = found.withColumn("_rescued", F.map_filter("fields", lost))
+    return kept.select(*(F.col(n).alias(c) for c, n in columns.items()), *(c for c in search if c in allowed),
+                       F.when(F.size("_rescued") > 0, F.to_json("_rescued")).alias("rescued"))
 
 
 # -------------------------------------------------------------- page chains

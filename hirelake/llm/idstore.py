@@ -70,35 +70,55 @@ def slots(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
+    """(doc_id, text_hash, n_tokens, ids) of every whole text as it is read: ids
+    as little-endian 16-bit integers, 32-bit ones where the vocabulary needs them."""
+
+    def run(batches):
+        encoder = encode.encoder(tokenizer)
+        kind = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
+        for batch in common.slices(batches, "text"):
+            ids, offsets = encode.with_end(*encoder.encode(common.text_or_empty(batch)), end)
+            data = ids.astype(kind)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_hash"), pa.array(np.diff(offsets)),
+                pa.array([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()),
+            ], names=["doc_id", "text_hash", "n_tokens", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return (rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+            .mapInArrow(run, "doc_id long, text_hash long, n_tokens long, ids binary"))
+
+
 def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int = 1) -> None:
-    """Encode every whole text and write the store to ``folder``."""
+    """Encode every whole text and write the store to ``folder``.
+
+    Texts are encoded as they are read, and only their ids are shuffled and
+    sorted, so no task holds sort memory and the encoder's words at once."""
     spark, tokenizer = docs.sparkSession, tokenizer or encode.default_tokenizer()
 
     def records(batches):
-        encoder = encode.encoder(tokenizer)
-        kind = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
+        encode.encoder.cache_clear()  # workers that encoded are used again: their words go
         shard, record, ahead, held, last, count = TaskContext.get().partitionId(), 0, 0, [], None, 0
 
         def flush():
-            ids, occurrences, data = zip(*held, strict=True)
-            sizes = [len(x) // int(kind[2]) for x in data]
+            ids, occurrences, sizes, data = map(list, zip(*held, strict=True))
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
             row = {"shard": [shard], "record": [record], "ahead": [ahead], "n_tokens": [sum(sizes)],
-                   "doc_ids": [list(ids)], "occurrences": [list(occurrences)], "starts": [starts.tolist()],
+                   "doc_ids": [ids], "occurrences": [occurrences], "starts": [starts.tolist()],
                    "lengths": [sizes], "ids": [b"".join(data)]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([
                 ("shard", pa.int32()), ("record", pa.int32()), ("ahead", pa.int64()), ("n_tokens", pa.int64()),
                 *((k, pa.list_(pa.int64())) for k in ("doc_ids", "occurrences", "starts", "lengths")), ("ids", pa.binary())]))
 
         size = 0
-        for batch in common.slices(batches, "text"):
-            ids, offsets = encode.with_end(*encoder.encode(common.text_or_empty(batch)), end)
-            data = ids.astype(kind)
-            for key, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):
+        for batch in batches:
+            columns = (batch.column(k).to_pylist() for k in ("doc_id", "n_tokens"))
+            for key, n, data in zip(*columns, batch.column("ids"), strict=True):
                 count = count + 1 if (key,) == last else 0
                 last = (key,)
-                held.append((key, count, data[a:b].tobytes()))
-                size += len(held[-1][2])
+                held.append((key, count, n, data.as_py()))
+                size += len(held[-1][3])
                 if size >= RECORD_BYTES:
                     out = flush()
                     yield out
@@ -106,13 +126,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int =
         if held:
             yield flush()
 
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .repartitionByRange(common.partitions(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     payload_schema = ("shard int, record int, ahead long, n_tokens long, doc_ids array<long>, occurrences array<long>, "
                       "starts array<long>, lengths array<long>, ids binary")
     scratch = common.Scratch(spark, "idstore")
     scratch.root = folder
+    rows = (scratch.write(encoded(docs, tokenizer, end), "encoded")
+            .repartitionByRange(common.partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text_hash", "ids"))
     payload = scratch.write(rows.mapInArrow(records, payload_schema), "payload")
+    scratch.drop("encoded")
 
     totals = payload.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))
     ahead = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))

@@ -1,4 +1,5 @@
 import functools
+import os
 import random
 import unicodedata
 import zlib
@@ -182,3 +183,22 @@ def test_queries(spark, smoke_docs):
     texts = {d.doc_id: library_ids(d.text, 2) for d in rows}
     for r in queries.QUERIES["op1_hilbert_packing"](spark, SMOKE).collect():
         assert r.ids_crc32 == crc(texts[r.doc_id][r.start:r.start + r.length])
+
+
+def test_texts_are_encoded_before_they_are_sorted(spark, tmp_path):
+    """op4: the sort of whole texts and the encoder's words were held by one task."""
+    rows = [(2, "b b"), (1, "one, two"), (1, "other"), (None, None), (1, "other"), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = idstore.encoded(docs, encode.default_tokenizer(), 1)
+    assert ids.columns == ["doc_id", "text_hash", "n_tokens", "ids"]
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    folder = str(tmp_path / "store")
+    idstore.write(docs, folder)
+    assert sorted(os.listdir(folder)) == ["index", "payload", "shards"]
+    keys = spark.createDataFrame([(k, i) for k, n in ((None, 1), (1, 3), (2, 1), (3, 1), (4, 1)) for i in range(n)], "doc_id long, occurrence long")
+    found = sorted(idstore.fetch(spark, folder, keys).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.occurrence) for r in found] == [(None, 0), (1, 0), (1, 1), (1, 2), (2, 0), (3, 0)]
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
+    assert sorted(bytes(r.ids) for r in found) == sorted(
+        np.append(encode.encoder(encode.default_tokenizer()).encode(pa.array([t or ""]))[0], 1).astype("<u4").tobytes() for _, t in rows)

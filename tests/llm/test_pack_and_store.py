@@ -64,6 +64,41 @@ def test_random_texts_of_marks_and_letters():
     assert differing(encode.Encoder(encode.default_tokenizer()), tokenizer(), texts) == []
 
 
+class Recorded:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_learned_without_their_marks_and_a_to_z_without_the_normaliser():
+    """op4: each word with a run of marks was learned anew, one text a word, and
+    all words went through the normaliser's patterns."""
+    encoder = encode.Encoder(encode.default_tokenizer())
+    encoder.tokenizer = Recorded(tokenizer())
+    texts = ["Alpha*** alpha, alpha.### beta&&& (\u00e9t\u00e9!!) \u00e9t\u00e9--\n", "beta alpha$$$ (alpha) it's "]
+    assert differing(encoder, tokenizer(), texts) == []
+    assert {"alpha", "beta", "***", ".###", "\u00e9t\u00e9"} <= set(encoder.rows)
+    assert not {"alpha***", "alpha.###", "beta&&&", "\u00e9t\u00e9--", "alpha$$$"} & set(encoder.rows)
+    given = " ".join(encoder.tokenizer.texts).split()
+    assert len(given) == len(set(given)) and not {"alpha", "beta"} & set(given)
+
+
+def test_every_ascii_mark_and_runs_of_marks():
+    draw = random.Random(6)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    runs = marks + ["".join(draw.choice(marks) for _ in range(draw.randint(2, 5))) for _ in range(400)]
+    letters = ["a", "Z", "\u00e9", "\u0130", "\u00df", "\u095c", "\u09df", "\ufb2a", "\u05d0", "\u1e9b", "1", "\u00b2", "e\u0301", "\u4e2d"]
+    texts = [f"b{c}{run}{after}" for c in letters for run in runs for after in (" x", "\n\u0338", "\t's", "", "\x0by", "\u00a0z")]
+    for remembered in (1_000_000, 50):
+        encoder = encode.Encoder(encode.default_tokenizer(), remembered)
+        assert [t for k in range(0, len(texts), 5000) for t in differing(encoder, tokenizer(), texts[k:k + 5000])] == []
+
+
 def test_another_tokenizer_file(smoke_docs, awkward):
     """A tokenizer with other rules: each text whole, by the library."""
     from tokenizers import Tokenizer
@@ -78,6 +113,16 @@ def test_another_tokenizer_file(smoke_docs, awkward):
         awkward.where("doc_id = 50").first().text, add_special_tokens=False).ids + [2]
 
 
+def test_a_tokenizer_with_added_words(tmp_path):
+    from tokenizers import Tokenizer
+
+    own, path = Tokenizer.from_str(tokenizer().to_str()), str(tmp_path / "own.json")
+    own.add_tokens(["onle", "***"])
+    own.save(path)
+    texts = ["an onle word, anonleword*** anonleword ***", "ONLE onle<|endoftext|>"]
+    assert differing(encode.Encoder(path), own, texts) == []
+
+
 @pytest.mark.parametrize("dimensions,bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_steps_to_neighbours(dimensions, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions, indexing="ij"), -1).reshape(-1, dimensions)

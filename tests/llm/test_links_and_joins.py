@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -179,5 +181,54 @@ def test_lines_variable_fields(spark):
     assert got[2].cleaned_text == "own text 2 stays"
 
 
+def test_lines_no_literal_repeat_needed(spark):
+    """Short menu lines, and templates whose variable field holds a word, several of them in one leaf."""
+    words = ["anna", "bert", "cora", "dora", "emil", "fred", "gina", "hugo", "ines", "jan"]
+    rows = []
+    for i, w in enumerate(words):
+        rows.append((i, "\n".join([
+            "Home", "About us", f"my own text {w}",
+            f"article by the editor {w} smith published in the daily news",           # 10 tokens, one variable quarter
+            f"we use cookies on this site {w} please read the notice on cookies",     # 12 tokens, and the next in the same leaf
+            f"we use cookies on other sites as well see {w} for the list"])))
+    got = {r.doc_id: r for r in linededup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].n_dropped == 0 and not got[0].emptied
+    for i, w in enumerate(words[1:], 1):
+        assert (got[i].n_lines, got[i].n_dropped, got[i].emptied, got[i].cleaned_text) == (6, 5, True, f"my own text {w}")
+    few = spark.createDataFrame([r for r in rows if r[0] < 2], "doc_id long, text string")
+    assert all(not r.n_dropped for r in linededup.drop_recurring(few).collect())
+
+
+def test_lines_masks_equal_brute_force(spark):
+    """Lines of 8 to 12 tokens, their leaf the same, with quarters from small sets."""
+    draw = random.Random(4)
+    texts = {}
+    for i in range(60):
+        texts[i] = ["a b c " + " ".join(f"{draw.choice('pqrs' if k % 2 else 'vwxyz')}{'x' * (k // 2)}" for k in range(draw.choice([5, 5, 9]))) for _ in range(4)]
+
+    def masks(line):
+        t = line.split(" ")
+        q = [tuple(t[len(t) * i // 4:len(t) * (i + 1) // 4]) for i in range(4)]
+        return [(len(t), i, *q[:i], *q[i + 1:]) for i in range(4)]
+
+    own, held = {}, {}
+    for i, ls in texts.items():
+        for x in ls:
+            own.setdefault(x, set()).add(i)
+            for m in masks(x):
+                held.setdefault(m, {}).setdefault(i, set()).add(x)
+    taken = {x for x, ids in own.items() if len(ids) > 1}
+    first = {m: min(i for i, xs in ids.items() if any(x not in taken or min(own[x]) == i for x in xs)) for m, ids in held.items()}
+    want = {}
+    for i, ls in texts.items():
+        some = [[m for m in masks(x) if len(held[m]) > 2] for x in ls]
+        gone = [i != min(own[x]) if x in taken else bool(ms) and all(first[m] != i for m in ms) for x, ms in zip(ls, some, strict=True)]
+        want[i] = (sum(gone), all(gone), "\n".join(x for x, g in zip(ls, gone, strict=True) if not g))
+    assert 20 < sum(w[0] for w in want.values()) < 230
+    docs = spark.createDataFrame([(i, "\n".join(ls)) for i, ls in texts.items()], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_dropped, r.emptied, r.cleaned_text) for r in linededup.drop_recurring(docs).collect()}
+    assert got == want
+
+
 def test_registered(smoke_docs):
     assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}

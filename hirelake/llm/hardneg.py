@@ -46,6 +46,8 @@ from hirelake.llm import common
 SCALE = 256.0
 #: Numbers in an index block and in a block of anchors, and dimensions in a segment.
 INDEX_CELLS, ANCHOR_CELLS, SEGMENT = 1 << 18, 1 << 15, 8
+#: Most index blocks in a lane (2.4 MB each).
+LANE_BLOCKS = 16
 #: Thresholds of the positives, as shares of the anchor's squared norm, and of
 #: the negatives, as shares of the positive's score; then the window's own end.
 POSITIVE_STEPS, NEGATIVE_STEPS = (0.8, 0.45), (0.95,)
@@ -131,7 +133,8 @@ class Index:
         self.scratch, self.rows = scratch, rows
         self.order = dimension_order(rows)
         blocks = _blocks_of(rows.count(), len(self.order), INDEX_CELLS)
-        self.lanes = min(blocks, common.partitions(scratch.spark))
+        # a task holds the index blocks of one lane at a time
+        self.lanes = min(blocks, max(common.partitions(scratch.spark), -(-blocks // LANE_BLOCKS)))
         packed = _dealt(rows, blocks, ["vec_id", "label", "vector"])
         self.table = scratch.write(packed.mapInArrow(_blocks(self.order, []), BLOCK_SCHEMA), "index").withColumn(
             "lane", F.col("block") % self.lanes)
@@ -160,7 +163,9 @@ class Index:
         packed = self.scratch.write(gathered.mapInArrow(_blocks(self.order, ["windows"]), f"{BLOCK_SCHEMA}, windows {kind}"), f"{name}-anchors")
         lanes = packed.select(*(F.col(c).alias(f"a_{c}") for c in NAMES), "windows",
                               F.explode(F.sequence(F.lit(0), F.lit(self.lanes - 1))).alias("lane"))
-        pairs = self.table.select("lane", *(F.col(c).alias(f"x_{c}") for c in NAMES)).join(lanes, "lane").drop("lane")
+        # a merge join by hint: Spark takes the anchors' size from their file, which holds them once
+        # and compressed, and would broadcast what is many times that; the index side is the one held
+        pairs = lanes.hint("merge").join(self.table.select("lane", *(F.col(c).alias(f"x_{c}") for c in NAMES)), "lane").drop("lane")
         return self.scratch.write(pairs.mapInArrow(meet, schema), name)
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.llm import hardneg, queries, turns
+from hirelake.llm import common, hardneg, queries, turns
 
 SMOKE = "/root/testdata/sf0.001"
 SPACE = " \t\n\x0b\x0c\r"
@@ -210,6 +210,24 @@ def test_negatives_equal_brute_force(spark, monkeypatch, scale, cells):
     assert result_all(hardneg.mine(frame, F.col("vec_id") % 10 == 0)) == negatives(usable(rows), 10) != []
 
 
+def test_anchors_are_never_broadcast_to_the_lanes(spark, monkeypatch):
+    """Spark knows the size of the anchors' file, not that each lane gets them all."""
+    plans = []
+
+    class Recorded(common.Scratch):
+        def write(self, df, name):
+            if name in ("positives-0", "negatives-0"):
+                plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().write(df, name)
+
+    monkeypatch.setattr(hardneg.common, "Scratch", Recorded)
+    monkeypatch.setattr(hardneg, "INDEX_CELLS", 40)
+    monkeypatch.setattr(hardneg, "LANE_BLOCKS", 2)
+    rows = some_vectors(400, 3, 0.2)
+    assert result_all(hardneg.mine(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 10 == 0)) == negatives(usable(rows), 10)
+    assert len(plans) == 2 and all("SortMergeJoin [lane" in p and "Broadcast" not in p for p in plans)
+
+
 def test_few_rows_and_none(spark):
     rows = [(0, 1, [1.0, 0.0]), (1, 1, [-1.0, 0.0]), (2, 2, [0.5, 0.0]), (10, 3, [0.0, 1.0])]
     frame = spark.createDataFrame(rows, VECTORS)

@@ -200,11 +200,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, sample: int = 40
     odd = classes.where(F.size("vector") != length).select("node", (-1 - F.size("vector")).cast("long").alias("leaf"), "vector")
     members = dealt.unionByName(odd).withColumn("weight", F.lit(1).cast("long"))
     crowded = members.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
-    met = links.compare(members.join(crowded.select("leaf"), "leaf"), "leaf", "vector", _similar(threshold), 4 * LEAF)
+    size = (8 * F.size("vector")).cast("long").alias("bytes")
+    met = links.compare(scratch, members.join(crowded.select("leaf"), "leaf").select("*", size), "leaf", "vector", _similar(threshold), 4 * LEAF, "met")
     edges = met.where("label != node").select(F.col("node").alias("a"), F.col("label").alias("b"))
     groups = scratch.write(common.components(scratch, edges, "components"), "groups")
     held = groups.join(classes, "node")
-    linked = (links.compare(held.select("component", "node", "weight", "vector"), "component", "vector", _similar(threshold), block)
+    linked = (links.compare(scratch, held.select("component", "node", "weight", "vector", size), "component", "vector", _similar(threshold), block, "held")
               .groupBy("node").agg(F.sum("links").alias("links")))
     joined = (classes.select("node", "weight", "low").join(groups, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))

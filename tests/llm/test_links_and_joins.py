@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -80,6 +81,33 @@ def test_labels():
     assert links.labels(linked).tolist() == [0, 0, 0, 0, 4, 4]
 
 
+def test_rounds_meet_each_pair_once_within_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(links, "LEAST_BYTES", 0)
+    blocks = [1, 2, 3, 8, 41]
+    rows = [(g, 1000 * g + k, k % n, n, 5) for g, n in enumerate(blocks) for k in range(2 * n)]
+    members = spark.createDataFrame(rows, "component int, node long, own int, blocks int, bytes long")
+    ends, met, most = links._rounds({n: 10 * n for n in blocks}), Counter(), []
+    for low, high in zip([0, *ends], ends):
+        held = {}
+        for r in links.blocked(members, low, high).collect():
+            held.setdefault((r.component, r.first, r.second), []).append((r.node, r.own))
+        most.append(sum(map(len, held.values())))
+        for (_, first, second), some in held.items():
+            met.update((a, b) for a, x in some for b, y in some if a < b and (first == second or x != y))
+    assert met == Counter((a, b) for g, a, *_ in rows for h, b, *_ in rows if g == h and a < b)
+    assert len(most) > 5 and max(most) <= links.REPEATS * len(rows)
+
+
+def test_rounds_give_the_same_links(spark, monkeypatch):
+    text = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(text[:i % 57] + [f"new{i}"] + text[i % 57 + 1:])) for i in range(120)] + [(500 + i, f"own {i} " * 9) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    at_once = sorted(map(tuple, jaccard.join(docs).collect()))
+    monkeypatch.setattr(links, "LEAST_BYTES", 0)
+    assert sorted(map(tuple, jaccard.join(docs, block=9).collect())) == at_once
+    assert max(r[2] for r in at_once) > 0
+
+
 def embeddings(spark, extra=()):
     draw = np.random.default_rng(1)
     centres = draw.standard_normal((12, 16))

@@ -13,10 +13,15 @@ stripped, so ``.net``, ``c++``, ``c#`` and ``node.js`` stay whole while
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import empty_to_null
 from ..functions.keywords import ALL_COLUMN, LISTED_CATEGORIES, SKILL_CATEGORIES
@@ -123,36 +128,144 @@ def tag_by_table(df: DataFrame, text: str, dictionary: DataFrame, *, key: str, m
     first stands at (from 1).
 
     Texts are cut into tokens as in ``tag_keywords``; each token starts up to
-    ``max_words`` runs of words, which meet the dictionary in a hash join on the
-    run.  Keywords of more words are left out and ``dictionary_lengths`` tells
-    how many there are.  Runs that no keyword begins with go before they are
-    multiplied: a token must be some keyword's first word.  The dictionary is
-    written first, a row per keyword with its categories, so that Spark knows its
-    size before it plans: it broadcasts a small one, and shuffles a larger one,
-    where the skew split divides a run that a third of all texts hold.  A text's
-    places are reduced per keyword; the categories multiply only what is left."""
+    ``max_words`` runs of words.  Keywords of more words are left out and
+    ``dictionary_lengths`` tells how many there are.  A filter of 16 bits a keyword
+    (a Bloom filter, the one thing that every task holds) lets nearly no other runs
+    through, each once a text with its first place, and what it lets through is
+    written; the keyword itself decides, in a hash join.  Words and phrases are
+    joined apart, so that Spark can broadcast the words even where the phrases are
+    many.  The dictionary is written first, a row per keyword with its categories, so
+    that Spark knows its size before it plans.  Only rows whose key repeats are
+    grouped again; the categories multiply only what is left."""
     spark = df.sparkSession
     words = F.split("keyword", " ")
     known = (dictionary.select("category", F.lower("keyword").alias("keyword")).where((F.col("keyword") != "") & (F.size(words) <= max_words))
-             .groupBy("keyword").agg(F.array_sort(F.collect_set(F.struct("category"))).alias("categories")))
-    path = sinks.scratch_path(spark, "keywords")
-    sinks.write_table(known, path)
-    known = spark.read.schema(known.schema).parquet(path)
-    firsts = known.groupBy(F.get(words, F.lit(0)).alias("_first")).agg(F.max(F.size(words)).alias("_longest"))
-    path = sinks.scratch_path(spark, "first-words")
-    sinks.write_table(firsts, path)
-    firsts = spark.read.schema(firsts.schema).parquet(path)
-    # The next words of each token: max_words times the text at most.  The tokens are
-    # bound first, so that they are worked out once and the rows don't carry all of them.
-    following = F.get(F.transform(F.array(tokens(text)), lambda t: F.transform(
-        t, lambda w, i: F.slice(t, i + 1, F.lit(max_words)))), F.lit(0))
-    windows = (df.select(key, F.posexplode(following).alias("_pos", "_next"))
-               .withColumn("_first", F.get("_next", F.lit(0))))
-    runs = (windows.join(firsts, "_first")
-            .select(key, "_pos", F.explode(F.transform(F.sequence(F.lit(1), F.least("_longest", F.size("_next"))),
-                                                       lambda n: F.array_join(F.slice("_next", F.lit(1), n), " "))).alias("keyword")))
-    placed = runs.join(known, "keyword").groupBy(key, "keyword", "categories").agg((F.min("_pos") + 1).alias("place"))
-    return placed.select(key, F.explode("categories.category").alias("category"), "keyword", "place")
+             .groupBy("keyword").agg(F.array_sort(F.collect_set(F.struct("category"))).alias("categories"))
+             .withColumn("_words", F.size(words)))
+    parts = []
+    for kind, some in (("words", F.col("_words") == 1), ("phrases", F.col("_words") > 1)):
+        path = sinks.scratch_path(spark, f"keyword-{kind}")
+        sinks.write_table(known.where(some), path)
+        parts.append((some, spark.read.schema(known.schema).parquet(path).drop("_words")))
+    bits = _keyword_filter(parts[0][1].unionByName(parts[1][1]), max_words)
+    runs = df.select(F.col(key).alias("_key"), tokens(text).alias("_tok"))
+    schema = T.StructType([runs.schema["_key"], *T.StructType.fromDDL("keyword string, place int, _words int")])
+    held = spark.sparkContext.broadcast(bits)
+    path = sinks.scratch_path(spark, "keyword-runs")
+    # what Python holds of the texts at a time
+    with sinks.setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "8m"):
+        sinks.write_table(runs.mapInArrow(_runs_let_through(held, max_words), schema), path)
+    held.destroy()
+    placed = spark.read.schema(schema).parquet(path)
+    path = sinks.scratch_path(spark, "repeated-keys")
+    sinks.write_table(df.groupBy(F.col(key).alias("_repeated")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_repeated"), path)
+    repeated = spark.read.schema(T.StructType([T.StructField("_repeated", schema["_key"].dataType)])).parquet(path)
+    if repeated.limit(1).count():
+        same = F.col("_key").eqNullSafe(F.col("_repeated"))
+        once = placed.join(repeated, same, "left_anti")
+        again = placed.join(repeated, same, "left_semi").groupBy("_key", "keyword", "_words").agg(F.min("place").alias("place"))
+        placed = once.unionByName(again)
+    known_runs = [placed.where(some).join(part, "keyword") for some, part in parts]
+    return (known_runs[0].unionByName(known_runs[1])
+            .select(F.col("_key").alias(key), F.explode("categories.category").alias("category"), "keyword", "place"))
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _word_codes(distinct: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in distinct.to_pylist()), np.uint64)
+
+
+def _places(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each run in a filter of ``size`` bits."""
+    second = (codes ^ (codes >> np.uint64(31))) * _MIX
+    return codes % np.uint64(size), (second ^ (second >> np.uint64(29))) % np.uint64(size)
+
+
+def _longer(codes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Codes of runs, each made longer by a word."""
+    mixed = (codes ^ (codes >> np.uint64(29))) * _MIX + last
+    return (mixed ^ (mixed >> np.uint64(32))) * _MIX
+
+
+def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, word number of each token, sizes of the lists; of a null 0)."""
+    coded = column.flatten().dictionary_encode()
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), sizes
+
+
+def _keyword_filter(known: DataFrame, max_words: int) -> np.ndarray:
+    """Bloom filter of the keywords as bytes: 16 bits a keyword, two of them set."""
+    piece = 1 << 15  # bits in a row of bitmap_construct_agg
+    size = -(-16 * max(known.count(), 1) // piece) * piece
+
+    def run(batches):
+        for batch in batches:
+            distinct, index, sizes = _lists(pc.split_pattern(batch.column("keyword"), " "))
+            words, starts = _word_codes(distinct), np.cumsum(sizes) - sizes
+            codes = words[index[starts]] if len(starts) else np.zeros(0, np.uint64)
+            for k in range(1, max_words):
+                on = sizes > k
+                codes[on] = _longer(codes[on], words[index[starts[on] + k]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(codes, size)).astype(np.int64))], names=["bit"])
+
+    rows = (known.select("keyword").mapInArrow(run, "bit long").groupBy(F.floor(F.col("bit") / piece).cast("int").alias("piece"))
+            .agg(F.bitmap_construct_agg(F.col("bit") % piece).alias("bits")).collect())
+    out = np.zeros((size // piece, piece // 8), np.uint8)
+    for r in rows:
+        out[r["piece"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def _runs_let_through(held, max_words: int, most: int = 1 << 18):
+    """(_key, keyword, place, _words): of each text (_key, _tok) the runs that the
+    filter lets through, each once with its first place; ``most`` tokens at a
+    time, or one text."""
+    def pieces(batch):
+        sizes = pc.fill_null(pc.list_value_length(batch.column("_tok")), 0).to_numpy(zero_copy_only=False)
+        start, total = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if total + n > most and i > start:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        if batch.num_rows > start:
+            yield batch.slice(start)
+
+    def run(batches):
+        bits = held.value
+        for whole in batches:
+            for batch in pieces(whole):
+                distinct, index, sizes = _lists(batch.column("_tok"))
+                text, ends = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.cumsum(sizes), sizes)
+                words = _word_codes(distinct)[index] if len(index) else np.zeros(0, np.uint64)
+                at, codes = np.arange(len(index)), words
+                for k in range(1, max_words + 1):
+                    if k > 1:
+                        on = at + k <= ends[at]
+                        at = at[on]
+                        codes = _longer(codes[on], words[at + k - 1])
+                    first, second = _places(codes, 8 * len(bits))
+                    met = np.flatnonzero((bits[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8))
+                                         & (bits[second >> np.uint64(3)] >> (second & np.uint64(7)).astype(np.uint8)) & 1)
+                    hit = at[met]
+                    # the first of each run in its text, by the words themselves
+                    columns = [text[hit], *(index[hit + i] for i in range(k))]
+                    order = np.lexsort((hit, *columns))
+                    new = np.ones(len(hit), bool)
+                    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+                    hit = hit[order[new]]
+                    if not len(hit):
+                        continue
+                    taken = [distinct.take(pa.array(index[hit + i])) for i in range(k)]
+                    keyword = taken[0] if k == 1 else pc.binary_join_element_wise(*taken, " ")
+                    place = (hit - (ends - np.repeat(sizes, sizes))[hit] + 1).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(text[hit])), keyword.cast(pa.string()), pa.array(place),
+                                                      pa.array(np.full(len(hit), k, np.int32))], names=["_key", "keyword", "place", "_words"])
+
+    return run
 
 
 def dictionary_lengths(dictionary: DataFrame) -> DataFrame:

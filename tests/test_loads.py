@@ -470,3 +470,27 @@ def test_categories_multiply_a_text_s_keywords_behind_its_places(spark):
     assert sorted(map(tuple, out.collect()), key=str) == sorted([*big, (1, "x", "big data", 3)], key=str)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode(") < plan.index("Aggregate [")
+
+
+def test_only_runs_of_the_dictionary_leave_a_text(spark, monkeypatch):
+    """What is written and joined grows with the keywords found, not with the tokens; keys repeat and are NULL."""
+    paths, draw = {}, random.Random(8)
+    plain = skill_ops.sinks.scratch_path
+    monkeypatch.setattr(skill_ops.sinks, "scratch_path", lambda s, name: paths.setdefault(name, plain(s, name)))
+    keywords = [" ".join(f"k{draw.randint(0, 9)}" for _ in range(n)) for n in (2, 2, 3, 4, 4, 5) for _ in range(4)] + ["k1", "K2", "k1  k2"]
+    texts = [" ".join(draw.choice([f"k{draw.randint(0, 9)}", f"noise{draw.randint(0, 10**6)},"]) for _ in range(700)) for _ in range(24)]
+    keys = [None if i % 6 == 0 else i % 15 for i in range(24)]
+    want = {}
+    for key, text in zip(keys, texts):
+        tok = [w.strip(",") for w in text.split()]
+        for kw in {k.lower() for k in keywords if len(k.split(" ")) <= 4}:
+            n = len(kw.split(" "))
+            places = [i + 1 for i in range(len(tok) - n + 1) if " ".join(tok[i:i + n]) == kw]
+            if places:
+                want[key, kw] = min(places[0], want.get((key, kw), 10**9))
+    docs = spark.createDataFrame([*zip(keys, texts), (77, None)], "id int, text string").repartition(3)
+    dictionary = spark.createDataFrame([("c", k) for k in keywords], "category string, keyword string")
+    out = skill_ops.tag_by_table(docs, "text", dictionary, key="id", max_words=4)
+    assert {(r.id, r.keyword): r.place for r in out.collect()} == want and out.count() == len(want)
+    assert spark.read.parquet(paths["keyword-runs"]).count() < 24 * len(keywords) + 24 * 700 * 4 // 20
+    assert skill_ops.tag_by_table(docs, "text", dictionary.limit(0), key="id").count() == 0
